@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup
+from . import language_id, line_dedup, mixing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_mixing": mixing.op3_mixing,
         "op8_line_dedup": line_dedup.op8_line_dedup,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_language_id": language_id.op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_mixing": mixing.OP3_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
     }
