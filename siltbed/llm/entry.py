@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, line_dedup, mixing, toxicity
+from . import embedding_dedup, language_id, line_dedup, mixing, near_dup, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
+        "op2_substring_dedup": substring_dedup.op2_substring_dedup,
         "op3_mixing": mixing.op3_mixing,
+        "op4_minhash_near_dedup": near_dup.op4_minhash_near_dedup,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_language_id": language_id.op10_language_id,
@@ -20,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_embedding_near_dedup": embedding_dedup.OP1_SQL,
+        "op2_substring_dedup": substring_dedup.OP2_SQL,
         "op3_mixing": mixing.OP3_SQL,
+        "op4_minhash_near_dedup": near_dup.OP4_SQL,
         "op8_line_dedup": line_dedup.OP8_SQL,
     }
