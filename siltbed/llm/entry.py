@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, language_id, line_dedup, mixing, near_dup, sentencepiece_codec, substring_dedup, toxicity
+from . import chroma, embedding_dedup, language_id, licences, line_dedup, mixing, near_dup, sentencepiece_codec, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
         "op3_mixing": mixing.op3_mixing,
         "op4_minhash_near_dedup": near_dup.op4_minhash_near_dedup,
+        "op5_license_scan": licences.op5_license_scan,
+        "op6_chroma_fingerprints": chroma.op6_chroma_fingerprints,
         "op7_sentencepiece": sentencepiece_codec.op7_sentencepiece,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_toxicity": toxicity.op9_toxicity,
