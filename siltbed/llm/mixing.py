@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, raw
 
@@ -12,7 +13,7 @@ from .common import Scratch, raw
 BITS, LEVEL = 60, 12
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def count_words(text: pa.Array) -> pa.Array:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in each text; 0 for null."""
     return pa.array([len(x.split()) if x else 0 for x in raw(text)], pa.int64())
