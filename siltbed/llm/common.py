@@ -63,6 +63,16 @@ def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def carried(docs: DataFrame, **columns) -> DataFrame:
+    """docs as one struct column ``row`` beside columns of our own, so that no name of docs can clash with ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[x.alias(k) for k, x in columns.items()])
+
+
+def unpacked(docs: DataFrame, but: tuple[str, ...] = (), **replaced) -> list:
+    """The columns of docs out of ``row``, without those that are added anew, some replaced."""
+    return [replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in docs.columns if c not in but]
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text, or one row: what Python holds stays bounded."""
     for batch in batches:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, pieces, raw
+from .common import SPACE, Scratch, carried, pieces, raw, unpacked
 
 _KEYS = "batch int, hi long, lo long, id long"
 
@@ -108,9 +108,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: i
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b))
     hot = runs.frequent()
-    drop = lines.join(hot, ["hi", "lo"]).select("id", F.struct("hi", "lo").alias("k")).groupBy("id").agg(F.collect_set("k").alias("_keys"))
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    joined = rows.join(drop.hint("shuffle_hash"), rows["_id"].eqNullSafe(drop["id"]), "left").drop("_id", "id")
+    drop = lines.join(hot, ["hi", "lo"]).select(F.col("id").alias("of"), F.struct("hi", "lo").alias("k")).groupBy("of").agg(F.collect_set("k").alias("gone"))
+    rows = carried(docs, id=F.col("doc_id").cast("long"))
+    joined = rows.join(drop.hint("shuffle_hash"), rows["id"].eqNullSafe(drop["of"]), "left")
 
     @F.arrow_udf("struct<text string, n_lines long, n_dropped long>")
     def rewrite(text: pa.Array, keys: pa.Array) -> pa.Array:
@@ -124,9 +124,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: i
             gone.append(len(of) - len(kept))
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["text", "n_lines", "n_dropped"])
 
-    made = joined.withColumn("_r", rewrite("text", "_keys"))
-    kept = [F.col("_r.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return made.select(*kept, "_r.n_lines", "_r.n_dropped")
+    made = joined.select("row", rewrite(F.col("row.text"), F.col("gone")).alias("r"))
+    return made.select(*unpacked(docs, ("n_lines", "n_dropped"), text=F.col("r.text")), "r.n_lines", "r.n_dropped")
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

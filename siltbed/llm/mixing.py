@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, raw
+from .common import Scratch, carried, raw, unpacked
 
 #: Bits of the sampling hash and of one histogram level.
 BITS, LEVEL = 60, 12
@@ -84,12 +84,12 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3) -> D
         plan, seen = scratch.observed(nxt, f"plan-{k}", open=F.count_if(F.col("cut").isNull()))
         if not seen["open"]:
             break
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "repeats", "taken")]
-    d = docs.select(*kept, count_words("text").alias("size"))
-    p = plan.select(F.col("source").alias("_s"), "source_size", "target", "whole", "rest", "cut")
-    more = F.when((F.col("rest") > 0) & (sampling_hash(F.col("doc_id")) < F.col("cut")), 1).otherwise(0)
-    out = d.join(p, d["source"].eqNullSafe(p["_s"])).withColumn("repeats", F.col("whole") + more)
-    return out.withColumn("taken", F.col("repeats") * F.col("size")).select(*kept, "size", "source_size", "target", "repeats", "taken")
+    d = carried(docs, size=count_words("text"), h=sampling_hash(F.col("doc_id")), of=F.col("source"))
+    out = d.join(plan, d["of"].eqNullSafe(plan["source"]))
+    more = F.when((F.col("rest") > 0) & (F.col("h") < F.col("cut")), 1).otherwise(0)
+    repeats = F.col("whole") + more
+    added = ("size", "source_size", "target", "repeats", "taken")
+    return out.select(*unpacked(docs, added), "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

@@ -224,7 +224,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     every pair of blocks is a unit of its own; for clusters first each block with a few pivots that all blocks share,
     then only the nodes that these left outside the largest component, against all blocks.
 
-    A null or empty text, or one without words, has 0 shingles and no links. Rows of one doc_id are nodes by their texts.
+    A null or empty text, or one without words, has 0 shingles and no links. Rows of one doc_id are one document, with the
+    links of all its rows.
     A row without doc_id has no links, a null component_id and is kept. An empty table gives an empty table.
     """
     spark = docs.sparkSession
@@ -290,6 +291,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
         left = outside.select("id", "hi", "cluster", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "chunk")
         right = hot.join(count, "cluster").select("id", "hi", "cluster", "block", F.explode(F.sequence(F.lit(1), F.col("nc"))).alias("chunk"))
         links = links.union(confirm(left.union(right).distinct(), "more"))
+    # documents whose rows have different texts hold their classes together
+    several = linked.groupBy("doc_id").agg(F.min("hi").alias("a"), F.max("hi").alias("b")).where("a <> b").select("doc_id")
+    if not several.isEmpty():
+        bridges = linked.join(several, "doc_id").join(classes, ["hi", "lo"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b")
+        links = links.union(bridges.distinct())
     found = scratch.save(components(scratch, links, "linked"), "found")
     by_class = classes.join(found, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component_id"))
     by_class = scratch.save(by_class, "classes")

@@ -68,7 +68,18 @@ def test_matches_against_pairwise_alignment(spark, monkeypatch, blocks):
     assert len(got) >= 30 and ch.matches(prints.where("false"), F.col("id") % 2 == 0).count() == 0
 
 
-def test_sonified_vectors(spark):
-    rows = [(1, [0.1] * 64), (2, [0.1] * 64), (3, None), (4, []), (5, [float("nan"), None, 0.5] * 30)]
-    got = {r["id"]: r["audio"] for r in ch.sonified(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
-    assert got[1] == got[2] and got[3] is None and got[4] is None and len(ch.read_wav(bytes(got[5]))) == 90 * 480
+def test_vectors_as_sound(spark):
+    a = ch.sound_of([0.1] * 64)
+    assert a == ch.sound_of([0.1] * 64) and ch.sound_of(None) is None and ch.sound_of([]) is None
+    assert len(ch.read_wav(ch.sound_of([float("nan"), None, 0.5] * 30))) == 90 * 480
+    rnd = np.random.default_rng(1)
+    rows = []
+    for i in range(60):
+        v = rnd.normal(size=64) / 8
+        rows += [(3 * i, v.tolist()), (3 * i + 1, (v + rnd.normal(size=64) * 0.005).tolist())]
+    rows += [(1001, None), (1002, []), (1003, [float("nan")] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    prints = ch.fingerprints(df, "embedding", read=lambda v: ch.read_wav(ch.sound_of(v))).withColumnRenamed("vec_id", "id")
+    got = {(r["query_id"], r["id"]) for r in ch.matches(prints, F.col("id") % 2 == 0).collect()}
+    near = {(q, r) for i in range(60) for q, r in ((3 * i, 3 * i + 1), (3 * i + 1, 3 * i)) if q % 2 == 0}
+    assert len(got & near) >= 0.9 * len(near)
