@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import math
 import wave
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -152,15 +153,16 @@ def bit_errors(q: np.ndarray, r: np.ndarray, offset: int) -> float:
     return float(np.bitwise_count(q[a:b] ^ r[a + offset : b + offset]).sum()) / (32 * (b - a)) if b > a else 1.0
 
 
-def fingerprints(media: DataFrame, audio: str = "audio", to: str = "fingerprint") -> DataFrame:
+def fingerprints(media: DataFrame, audio: str = "audio", to: str = "fingerprint", read: Callable = read_wav) -> DataFrame:
     """media with a column of packed integers (array<int>, the bits of 32-bit words) for its column of WAV bytes.
 
-    Null, broken and too short recordings have an empty fingerprint; recordings are read whole.
+    Null, broken and too short recordings have an empty fingerprint; recordings are read whole, one at a time. ``read`` turns
+    a value of the column into samples at RATE, for columns that hold something else.
     """
 
     @F.arrow_udf("array<int>")
     def run(data: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(read_wav(x.as_py())).view(np.int32) for x in data], pa.list_(pa.int32()))
+        return pa.array([fingerprint(read(x.as_py())).view(np.int32) for x in data], pa.list_(pa.int32()))
 
     return media.withColumn(to, run(audio))
 
@@ -224,29 +226,22 @@ def matches(prints: DataFrame, is_query, least_votes: int = 4, most_errors: floa
     return dealt.mapInArrow(compare, "query_id long, id long, offset long, votes long, errors double")
 
 
-def sonified(vectors: DataFrame, note: int = 480) -> DataFrame:
-    """(id, audio): WAV bytes that sound out each vector's components one after the other; null for null or empty vectors.
+def sound_of(vector: list | None, note: int = 480) -> bytes | None:
+    """WAV bytes that sound out a vector's components one after the other; None for null or empty vectors.
 
-    The tables hold no media, so this makes a media column of them: equal vectors give equal recordings, near ones near
-    recordings. A component sets the pitch between LOW_HZ and HIGH_HZ; missing and non-finite ones are silent.
+    The tables hold no media, so this makes recordings of them: equal vectors give equal ones, near vectors mostly the same
+    notes. A component over the root mean square of all, rounded, sets the pitch in steps of five semitones around 440 Hz;
+    missing and non-finite ones are silent.
     """
-
-    @F.arrow_udf("binary")
-    def run(vec: pa.Array) -> pa.Array:
-        out = []
-        for x in vec:
-            v = np.array([math.nan if y is None else y for y in x.as_py()], np.float64) if x.is_valid else np.zeros(0)
-            if not len(v):
-                out.append(None)
-                continue
-            fine = np.isfinite(v)
-            semitone = 24 + 48 * np.tanh(4 * np.where(fine, v, 0.0)) / 2
-            hz = np.repeat(110.0 * 2 ** (semitone / 12), note)
-            wave_ = np.sin(2 * np.pi * np.cumsum(hz) / RATE) * np.repeat(fine, note)
-            out.append(write_wav(0.5 * wave_))
-        return pa.array(out, pa.binary())
-
-    return vectors.select(F.col("vec_id").alias("id"), run("embedding").alias("audio"))
+    v = np.array([math.nan if y is None else y for y in (() if vector is None else vector)], np.float64)
+    if not len(v):
+        return None
+    fine = np.isfinite(v)
+    v = np.where(fine, v, 0.0)
+    scale = math.sqrt(float((v / max(1e-300, np.abs(v).max())) @ (v / max(1e-300, np.abs(v).max()))) / len(v)) * np.abs(v).max()
+    semitone = np.clip(5 * np.round(v / scale), -24, 24) if scale > 0 else np.zeros(len(v))
+    hz = np.repeat(440.0 * 2 ** (semitone / 12), note)
+    return write_wav(0.5 * np.sin(2 * np.pi * np.cumsum(hz) / RATE) * np.repeat(fine, note))
 
 
 def op6_chroma_fingerprints(spark, sf_dir: str) -> DataFrame:
@@ -257,7 +252,8 @@ def op6_chroma_fingerprints(spark, sf_dir: str) -> DataFrame:
     """
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     scratch = Scratch(spark, "op6")
-    prints = scratch.save(fingerprints(sonified(vectors)).select("id", "fingerprint"), "prints")
+    heard = fingerprints(vectors, "embedding", read=lambda v: read_wav(sound_of(v)))
+    prints = scratch.save(heard.select(F.col("vec_id").alias("id"), "fingerprint"), "prints")
     is_query = F.col("id") % 20 == 0
     found = matches(prints, is_query).groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("errors", F.col("id").alias("best"), "offset")).alias("b"))
     sha = F.sha2(F.array_join(F.col("fingerprint").cast("array<string>"), ","), 256)
