@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 from siltbed import schema
 from siltbed.functions.tokens import murmur_tokens
@@ -172,11 +172,23 @@ class SSTableReader(DataSourceReader):
         self.split = int(options.get("split_bytes", SPLIT))
         self.start = bytes.fromhex(options["start_key_hex"]) if "start_key_hex" in options else options["start_key"].encode() if "start_key" in options else None
 
+        self.only: bytes | None = None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """A filter for one key prunes what is read; Spark applies it again, so nothing depends on it."""
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("key",) and f.value is not None:
+                self.only = bytes(f.value)
+            yield f
+
     def partitions(self):
         out = []
         for src, f in enumerate(find_files(self.paths, self.keyspace, self.table, self.strip_id)):
             if f.first is None:
                 continue
+            if self.only is not None:
+                out.append(Range(f, src, split_points(f, self.only, self.split)[0], None))
+                continue
             points = split_points(f, self.start, self.split)
             out += [Range(f, src, a, b) for a, b in zip(points, [*points[1:], None], strict=True)]
         return out or [Range(None, 0, 0, 0)]
@@ -187,13 +199,16 @@ class SSTableReader(DataSourceReader):
         f, goal = partition.file, None
         if self.start is not None:
             goal = _place(f.meta.partitioner, self.start)
+        last = _place(f.meta.partitioner, self.only) if self.only is not None else None
         rows: list[tuple] = []
         # positions are places in the file, so they don't depend on how it was split
         w = _open(f.table, partition.start, self.checksum)
         try:
             while w.more() and (partition.stop is None or w.at < partition.stop):
                 key, cells = layouts.new_partition(w, f.meta.header) if f.table.version >= naming.MA else layouts.old_partition(w, f.table.version)
-                keep = goal is None or _place(f.meta.partitioner, key) >= goal
+                if last is not None and _place(f.meta.partitioner, key) > last:
+                    break
+                keep = (goal is None or _place(f.meta.partitioner, key) >= goal) and self.only in (None, key)
                 for cell in cells:
                     if keep:
                         rows.append((key, w.at, *cell))

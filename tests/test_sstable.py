@@ -1,0 +1,224 @@
+import struct
+import sys
+from pathlib import Path
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import sstable_writer as sw
+
+from siltbed.plans.loader import load_table, main, options
+from siltbed.sources.sstable import describe, layouts, naming, read_sstables
+from siltbed.sources.sstable.datasource import File, find_files, split_points
+from siltbed.sources.sstable.wire import EndOfData, Wire, put_vint
+
+
+@given(st.integers(0, 2**64 - 1))
+def test_vints(n):
+    w = Wire(put_vint(n) + b"\x00")
+    assert w.vint() == n and w.more()
+
+
+def test_primitives():
+    w = Wire(b"\x7f" + put_vint(5) + struct.pack(">hiqfd", -2, -3, -4, 1.5, 2.5))
+    assert w.vint() == 127 and w.signed_vint() == -3
+    assert (w.u16(), w.i32(), w.i64(), w.f32(), w.f64()) == (65534, -3, -4, 1.5, 2.5)
+    with pytest.raises(EndOfData):
+        w.u8()
+
+
+def test_composite_names():
+    assert layouts.last_component(sw.composite(b"a", b"bc")) == b"bc"
+    for plain in (b"name", b"", b"\0", b"\0\x05abc", sw.composite(b"a") + b"x"):
+        assert layouts.last_component(plain) == plain
+    assert layouts.last_component(sw.composite(b"")) == b""
+
+
+def test_column_subsets():
+    def encode(n, there):
+        t = sw.NewTable([(f"c{i}", "UTF8Type") for i in range(n)])
+        row = t.row({f"c{i}": (b"x", 2000, {}) for i in there})
+        return row[3:]  # flags and two sizes
+
+    for n, there in ((5, [0, 3]), (64, [1, 2]), (70, list(range(60))), (63, [62])):
+        got = layouts.present(Wire(encode(n, there)), n)
+        assert [i for i, x in enumerate(got) if x] == there
+    assert layouts.present(Wire(b"\0"), 3) == [True] * 3
+
+
+def cells(df):
+    return sorted((bytes(r["key"]), r["kind"], r["name"], r["range_end"], r["ts"], r["deleted"], r["ttl"], r["expires_at"], None if r["value"] is None else bytes(r["value"])) for r in df.collect())
+
+
+OLD = [
+    (b"k1", [sw.old_cell(b"a", 5, b"x"), sw.old_cell(b"b", 6, b"", deleted=True), sw.old_cell(b"c", 7, b"z" * 200, ttl=9, expires=1000), sw.old_cell(b"d", 8, b"ctr", counter=True)], layouts.ACTIVE),
+    (b"k2", [sw.old_cell(b"b", 3, end=b"d"), sw.old_cell(sw.composite(b"p", b"e"), 4, b"v")], 2),
+    (b"k3", [], layouts.ACTIVE),
+    (b"k4", [], 50),
+]
+OLD_CELLS = sorted(
+    [
+        (b"k1", "cell", "a", None, 5, False, None, None, b"x"),
+        (b"k1", "cell", "b", None, 6, True, None, None, b""),
+        (b"k1", "cell", "c", None, 7, False, 9, 1000, b"z" * 200),
+        (b"k1", "cell", "d", None, 8, False, None, None, b"ctr"),
+        (b"k2", "row_deletion", None, None, 2, False, None, None, None),
+        (b"k2", "range_tombstone", "b", "d", 3, False, None, None, None),
+        (b"k2", "cell", "e", None, 4, False, None, None, b"v"),
+        (b"k3", "cell", "", None, 0, False, None, None, None),
+        (b"k4", "row_deletion", None, None, 50, False, None, None, None),
+    ],
+    key=str,
+)
+
+
+@pytest.mark.parametrize("letters", ["a", "d", "hb", "hc", "hd", "ib", "ja", "jb", "ka", "la"])
+@pytest.mark.parametrize("codec", ["SnappyCompressor", "LZ4Compressor", "DeflateCompressor", None])
+def test_older_files(spark, tmp_path, letters, codec):
+    v = naming.version(letters)
+    where = tmp_path / "ks" / "tbl"
+    stem = where / ("la-1-big" if letters == "la" else f"ks-tbl-{letters}-1")
+    sw.write(stem, [(k, sw.old_partition(v, k, c, d)) for k, c, d in OLD], "Murmur3Partitioner" if v >= naming.HC else "RandomPartitioner", codec, summary=letters != "hc")
+    df = read_sstables(spark, [str(where)], split_bytes=64)
+    assert sorted(cells(df), key=str) == OLD_CELLS
+    d = describe(spark, [str(where)]).collect()[0]
+    assert (d["version"], d["keyspace"], d["table"], d["partitioner"]) == (v, "ks", "tbl", "Murmur3Partitioner" if v >= naming.HC else "RandomPartitioner")
+
+
+TABLE = sw.NewTable([("num", "LongType"), ("small", "Int32Type"), ("txt", "UTF8Type"), ("flag", "BooleanType"), ("id", "UUIDType"), ("none", "EmptyType"), ("other", "DecimalType")], [("st", "UTF8Type")], ["Int32Type", "UTF8Type"])
+
+
+@pytest.mark.parametrize("letters", ["ma", "mc", "md", "na"])
+def test_newer_files(spark, tmp_path, letters):
+    one, two = struct.pack(">i", 1), struct.pack(">i", 2)
+    rows = [
+        TABLE.row({"st": (b"static", 1500, {})}, ts=1200, static=True),
+        TABLE.row({"num": (bytes(8), None, {}), "small": (b"\0\0\0\1", 1300, {}), "txt": (b"", None, {}), "flag": (b"\1", None, {}), "id": (bytes(16), None, {}), "none": (b"", None, {}), "other": (b"abc", None, {})}, [one, b"x"], ts=1200),
+        TABLE.row({"txt": (b"gone", None, {"deleted": True}), "num": (bytes(7) + b"\7", 1400, {"ttl": 60, "expires": 900})}, [two, b""], ts=1250, ttl=30, expires=800),
+        TABLE.row({"txt": (b"t", None, {"row_ttl": True})}, [two, None], ts=1250, ttl=30, expires=800),
+        TABLE.row({}, [two, b"z"], deletion=1600),
+    ]
+    where = tmp_path / "ks" / "tbl-1"
+    parts = [(b"p1", TABLE.partition(b"p1", rows)), (b"p2", TABLE.partition(b"p2", [], deletion=1700)), (b"p3", TABLE.partition(b"p3", []))]
+    sw.write(where / f"{letters}-7-big", parts, codec="SnappyCompressor", chunk=50, header=TABLE.header())
+    df = read_sstables(spark, [str(where)])
+    got = [(bytes(r["key"]), r["clustering"] and [None if x is None else bytes(x) for x in r["clustering"]], r["is_static"], r["kind"], r["name"], r["ts"], r["deleted"], r["ttl"], r["expires_at"], None if r["value"] is None else bytes(r["value"])) for r in df.orderBy("key", "pos").collect()]
+    p1 = [g for g in got if g[0] == b"p1"]
+    assert (b"p1", None, True, "cell", "st", 1500, False, None, None, b"static") in p1
+    c = [one, b"x"]
+    assert {(g[4], g[5], g[9]) for g in p1 if g[1] == c} == {("", 1200, None), ("num", 1200, bytes(8)), ("small", 1300, b"\0\0\0\1"), ("txt", 1200, b""), ("flag", 1200, b"\1"), ("id", 1200, bytes(16)), ("none", 1200, b""), ("other", 1200, b"abc")}
+    assert {g[4:] for g in p1 if g[1] == [two, b""]} == {("", 1250, False, 30, 800, None), ("txt", 1250, True, None, None, b"gone"), ("num", 1400, False, 60, 900, bytes(7) + b"\7")}
+    assert {g[4:] for g in p1 if g[1] == [two, None]} == {("", 1250, False, 30, 800, None), ("txt", 1250, False, 30, 800, b"t")}
+    assert [g[3:6] for g in p1 if g[1] == [two, b"z"]] == [("row_deletion", None, 1600)]
+    assert [g[1:6] for g in got if g[0] == b"p2"] == [(None, False, "row_deletion", None, 1700)]
+    assert [g[3:5] for g in got if g[0] == b"p3"] == [("cell", "")]
+
+
+def test_markers_are_refused(spark, tmp_path):
+    bad = TABLE.partition(b"p", [b"\x02"])
+    sw.write(tmp_path / "k" / "t" / "ma-1-big", [(b"p", bad)], header=TABLE.header())
+    with pytest.raises(Exception, match="range tombstones over clustering"):
+        read_sstables(spark, [str(tmp_path / "k" / "t")]).collect()
+
+
+def many(v, n, ts=5, value=b"v"):
+    return [(b"key%03d" % i, sw.old_partition(v, b"key%03d" % i, [sw.old_cell(b"a", ts, value + b"%d" % i)])) for i in range(n)]
+
+
+def test_splits_and_start_keys(spark, tmp_path):
+    where = tmp_path / "d"
+    keys = [b"key%03d" % i for i in range(60)]
+    sw.write(where / "ks-tbl-jb-1", many(naming.JB, 60), chunk=128)
+    order = sw.in_token_order(keys)
+    whole = read_sstables(spark, [str(where)], split_bytes=100)
+    assert whole.rdd.getNumPartitions() > 5 and len(cells(whole)) == 60
+    assert read_sstables(spark, [str(where)]).rdd.getNumPartitions() == 1
+    for i in (0, 31, 59):
+        for split in (100, 10**6):
+            got = cells(read_sstables(spark, [str(where)], start_key_hex=order[i].hex(), split_bytes=split))
+            assert {g[0] for g in got} == set(order[i:])
+    f = find_files([str(where)])[0]
+    assert isinstance(f, File) and split_points(f, order[40], 10**6)[0] > 0
+    assert read_sstables(spark, [str(where)], start_key="nothing like it").count() <= 60
+
+
+def test_a_key_is_looked_up(spark, tmp_path):
+    sw.write(tmp_path / "d" / "ks-tbl-jb-1", many(naming.JB, 60), chunk=128)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        for key in (b"key007", b"key059", b"none"):
+            df = read_sstables(spark, [str(tmp_path / "d")], split_bytes=100).where(F.col("key") == F.lit(bytearray(key)))
+            assert df.rdd.getNumPartitions() == 1 and df.count() == (key != b"none")
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_checksums(spark, tmp_path):
+    for letters in ("jb", "ib"):
+        where = tmp_path / letters
+        sw.write(where / f"ks-tbl-{letters}-1", many(naming.version(letters), 5), codec="DeflateCompressor")
+        data = Path(where / f"ks-tbl-{letters}-1-Data.db")
+        raw = bytearray(data.read_bytes())
+        raw[-1] ^= 1  # a checksum's last byte
+        data.write_bytes(bytes(raw))
+        with pytest.raises(Exception, match="checksum mismatch"):
+            read_sstables(spark, [str(where)]).collect()
+        assert read_sstables(spark, [str(where)], checksum=False).count() == 5
+
+
+def test_files_that_don_t_fit(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        find_files([str(tmp_path)])
+    sw.write(tmp_path / "a" / "ks-one-jb-1", many(naming.JB, 2))
+    sw.write(tmp_path / "a" / "ks-two-jb-1", many(naming.JB, 2))
+    with pytest.raises(ValueError, match="several tables"):
+        find_files([str(tmp_path / "a")])
+    assert len(find_files([str(tmp_path / "a")], table="one")) == 1
+    sw.write(tmp_path / "b" / "ks-one-jb-1", many(naming.JB, 2))
+    sw.write(tmp_path / "b" / "ks-one-jb-2", many(naming.JB, 2), "RandomPartitioner")
+    with pytest.raises(ValueError, match="several partitioners"):
+        find_files([str(tmp_path / "b")])
+    (tmp_path / "b" / "what-Data.db").write_bytes(b"")
+    with pytest.raises(ValueError, match="not the name"):
+        find_files([str(tmp_path / "b")])
+    assert naming.parse("/x/ks/t-" + "0" * 32 + "/ma-1-big-Data.db", strip_id=True).table == "t"
+
+
+def test_a_whole_run(spark, tmp_path, capsys):
+    v, where = naming.JB, tmp_path / "files"
+    old = many(v, 8) + [(b"gone", sw.old_partition(v, b"gone", [sw.old_cell(b"a", 5, b"x")])), (b"late", sw.old_partition(v, b"late", [sw.old_cell(b"a", 5, b"x", ttl=1, expires=10)]))]
+    sw.write(where / "ks-tbl-jb-1", old)
+    sw.write(where / "ks-tbl-jb-2", [(b"gone", sw.old_partition(v, b"gone", [], 9)), (b"key003", sw.old_partition(v, b"key003", [sw.old_cell(b"a", 9, b"newer"), sw.old_cell(b"b", 1, b"more")]))])
+    run = load_table(spark, [str(where)], now=1000)
+    assert run.summary.collect()[0].asDict() == {"exported": 8, "failed": 0, "skipped": 1, "expired": 1, "existing": 0}
+    got = {bytes(r["key"]): {k: bytes(x) for k, x in r["bins"].items()} for r in run.exported().collect()}
+    assert got[b"key003"] == {"a": b"newer", "b": b"more"} and len(got) == 8 and (run.namespace, run.set_name) == ("ks", "tbl")
+    order = sw.in_token_order([k for k, _ in old])
+    assert bytes(run.cursor().collect()[0]["key"]) == order[0]
+    after = run.records.where(run.records["key"] == bytearray(order[3])).collect()[0]
+    assert bytes(run.cursor((after["token"], after["key"])).collect()[0]["key"]) == order[4]
+    rest = load_table(spark, [str(where)], now=1000, start_key=order[4])
+    assert {bytes(r["key"]) for r in rest.records.collect()} == set(order[4:])
+    lines = [r["value"] for r in run.lines().collect()]
+    assert len(lines) == 9 and "key003:\na=newer\nb=more" in lines
+    target = str(tmp_path / "target")
+    for n, there in ((8, 0), (0, 8)):
+        assert main(["-i", str(where), "-o", target]) == 0
+        assert f"Exported {n} records, failed to write 0, skipped 1 deleted and 1 expired ones and {there} that were there." in capsys.readouterr().out
+    assert spark.read.parquet(target).count() == 8
+    assert main(["-i", str(where), "-D"]) == 0 and "key003:\na=newer" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("bad", [["-i", "x"], ["-i", "x", "-D", "-L", "0"], ["-i", "x", "-D", "-S", "0"], ["-i", "x", "-D", "-s", "a", "-S", "00"], ["-D"]])
+def test_options_that_are_wrong(bad):
+    with pytest.raises(SystemExit):
+        options(bad)
+
+
+def test_options():
+    o = options(["-i", "a", "-i", "b", "-D", "-S", "00ff", "-f", "-x", "-C", "-L", "5"])
+    assert (o.paths, o.start_key, o.expiry, o.eternal, o.checksum, o.min_ttl) == (["a", "b"], b"\x00\xff", "nearest", 0, False, 5)
