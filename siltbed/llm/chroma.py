@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, parts
+from .common import Scratch, bound_batches, parts
 from .near_dup import _grouped
 
 #: Samples a second that audio is brought to, samples of a frame and between frames, lowest and highest pitch in Hz.
@@ -160,6 +160,8 @@ def fingerprints(media: DataFrame, audio: str = "audio", to: str = "fingerprint"
     a value of the column into samples at RATE, for columns that hold something else.
     """
 
+    bound_batches(media.sparkSession)
+
     @F.arrow_udf("array<int>")
     def run(data: pa.Array) -> pa.Array:
         return pa.array([fingerprint(read(x.as_py())).view(np.int32) for x in data], pa.list_(pa.int32()))

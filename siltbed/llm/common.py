@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -22,10 +24,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found or "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "siltbed")
 
 
+#: Rows that Spark hands to Python at once, at most. Its own default of 10,000 means tens of megabytes of text on both sides.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows; results don't depend on it, memory does. All operators call this,
+    and it stays in force, as their results are computed later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Scratch:
     """Tables written to the shared folder to cut lineage. They outlive lost executors and go when the driver's JVM ends."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         path, fs = self._at(self.root)
@@ -73,8 +88,23 @@ def unpacked(docs: DataFrame, but: tuple[str, ...] = (), **replaced) -> list:
     return [replaced[c].alias(c) if c in replaced else F.col("row").getField(c).alias(c) for c in docs.columns if c not in but]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Free memory that allocators keep. Spark's Python workers live on between tasks, more of them than run at once."""
+    Words._pow = Words._inv = None
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries than glibc have no such function
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text, or one row: what Python holds stays bounded."""
+    try:
+        yield from _cut(batches, text, most)
+    finally:
+        give_back()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         col = batch.column(text)
         if not batch.num_rows:

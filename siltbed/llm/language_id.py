@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, pieces, raw
+from .common import Words, bound_batches, carried, mix, pieces, raw, unpacked
 
 _LETTER = regex.compile(r"\p{L}")
 #: Words of one block of the forward-backward scan.
@@ -31,25 +31,31 @@ def word_features(w: Words, pick: np.ndarray, bits: int) -> tuple[np.ndarray, np
     size = (w.end - w.start)[pick]
     wide = size + 2
     first = np.concatenate([[0], np.cumsum(wide)])
-    at = np.arange(first[-1]) - np.repeat(first[:-1], wide)
     of = np.repeat(np.arange(len(pick)), wide)
+    at = np.arange(first[-1]) - first[of]
     inner = (at > 0) & (at <= size[of])
     byte = np.where(at == 0, 256, 257).astype(np.uint64)
     byte[inner] = w.data[w.start[pick][of[inner]] + at[inner] - 1]
-    ids, owner = [], []
+    # room for each word's features: all n-grams up to four bytes, two affixes of five and of six with the edge, the word
+    grams = [np.maximum(0, wide - n + 1) if n <= 4 else np.where(wide >= n, np.where(wide == n, 1, 2), 0) for n in range(1, 7)]
+    start = np.concatenate([[0], np.cumsum(sum(grams) + 1)])
+    ids = np.empty(start[-1], np.int32)
+    free, shift = start[:-1].copy(), np.uint64(64 - bits)
     roll = np.zeros(len(byte), np.uint64)
-    for n in range(1, 7):
+    for n, count in enumerate(grams, 1):
         roll[: len(roll) - n + 1] = roll[: len(roll) - n + 1] * np.uint64(1031) + byte[n - 1 :] + np.uint64(7)
         fits = at + n <= wide[of]
         # n-grams of up to four bytes count anywhere, longer ones only as affixes: at the word's start or end
         use = np.flatnonzero(fits if n <= 4 else fits & ((at == 0) | (at + n == wide[of])))
-        ids.append(mix(roll[use] + np.uint64(n << 56)))
-        owner.append(of[use])
-    ids.append(mix(w.hash[pick]))
-    owner.append(np.arange(len(pick)))
-    owner, ids = np.concatenate(owner), np.concatenate(ids)
-    order = np.argsort(owner, kind="stable")
-    return (ids[order] >> np.uint64(64 - bits)).astype(np.int64), np.searchsorted(owner[order], np.arange(len(pick)))
+        nth = np.arange(len(use)) - np.repeat(np.cumsum(count) - count, count)
+        ids[free[of[use]] + nth] = mix(roll[use] + np.uint64(n << 56)) >> shift
+        free += count
+    ids[free] = mix(w.hash[pick]) >> shift
+    return ids, start[:-1]
+
+
+#: Words whose features are spread out at once.
+SPREAD = 8192
 
 
 class Chain:
@@ -129,8 +135,38 @@ class LanguageModel:
         if not len(w.hash):
             return np.zeros((0, len(self.labels)))
         _, pick, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        ids, first = word_features(w, pick, self.bits)
-        return np.add.reduceat(self.weights[ids], first, axis=0)[back].astype(np.float64)
+        scores = np.empty((len(pick), len(self.labels)), np.float32)
+        for a in range(0, len(pick), SPREAD):
+            ids, first = word_features(w, pick[a : a + SPREAD], self.bits)
+            scores[a : a + SPREAD] = np.add.reduceat(self.weights[ids], first, axis=0)
+        return scores[back].astype(np.float64)
+
+    def _types(self, texts: list[bytes], most: int = 1 << 20) -> tuple[np.ndarray, ...]:
+        """(kind of each word, first word of each text, features of all kinds, number of features of each kind)."""
+        words, starts, hashes, ids, counts, known = [], [0], [], [], [], np.zeros(0, np.uint64)
+        at = 0
+        while at < len(texts):
+            to, size = at, 0
+            while to < len(texts) and (to == at or size + len(texts[to]) < most):
+                size += len(texts[to])
+                to += 1
+            w = Words(texts[at:to], lower=True)
+            starts += (w.first[1:] + starts[-1]).tolist()
+            words.append(w.hash)
+            kinds, pick = np.unique(w.hash, return_index=True)
+            new = ~np.isin(kinds, known)
+            known = np.union1d(known, kinds)
+            hashes.append(kinds[new])
+            for a in range(0, int(new.sum()), SPREAD):
+                x, f = word_features(w, pick[new][a : a + SPREAD], self.bits)
+                ids.append(x)
+                counts.append(np.diff(np.concatenate([f, [len(x)]])))
+            at = to
+        hashes = np.concatenate(hashes)
+        order = np.argsort(hashes)
+        back = order[np.searchsorted(hashes[order], np.concatenate(words))] if len(hashes) else np.zeros(0, np.int64)
+        none = [np.zeros(0, np.int64)]
+        return back, np.array(starts), np.concatenate(ids or none), np.concatenate(counts or none)
 
     def fit(self, texts: list[bytes], langs: list[int], rounds: int = 4, seed: int = 7) -> LanguageModel:
         """Conditional likelihood by Adagrad over chains spliced from spans of several documents: code-switched text."""
@@ -138,11 +174,9 @@ class LanguageModel:
         if k < 2 or not texts:
             return self
         rng = np.random.default_rng(seed)
-        w = Words(texts, lower=True)
-        full = np.flatnonzero(np.diff(w.first) > 0)
-        types, pick, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        ids, first = word_features(w, pick, self.bits)
-        counts = np.diff(np.concatenate([first, [len(ids)]]))
+        back, starts, ids, counts = self._types(texts)
+        full = np.flatnonzero(np.diff(starts) > 0)
+        first = np.cumsum(counts) - counts
         seen, seen_t = np.full(self.weights.shape, 1e-6, np.float32), np.full((k, k), 1e-6)
         lang = np.asarray(langs)
         by_lang = [full[lang[full] == x] for x in range(k)]
@@ -153,7 +187,7 @@ class LanguageModel:
             for _ in range(250):
                 for _ in range(int(rng.integers(1, 4))):
                     d = rng.choice(by_lang[int(rng.integers(len(by_lang)))])
-                    a, b = w.first[d], w.first[d + 1]
+                    a, b = starts[d], starts[d + 1]
                     n = int(min(b - a, rng.integers(8, 50)))
                     s = int(rng.integers(a, b - n + 1))
                     items.append(np.arange(s, s + n))
@@ -190,7 +224,7 @@ class LanguageModel:
         if not k:
             return ["und"] * n, [0.0] * n, np.zeros((len(w.hash), 0))
         post = Chain(w.first, np.exp(self.trans)).marginals(self.emissions(w))[0]
-        share = np.stack([np.bincount(w.doc, post[:, j], n) for j in range(k)], axis=1)
+        share = np.stack([np.bincount(w.doc, post[:, j], n) for j in range(k)], axis=1).astype(np.float64)
         share /= np.maximum(np.diff(w.first), 1)[:, None]
         best = share.argmax(axis=1)
         return [self.labels[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], [float(min(1.0, share[i, b])) if ok else 0.0 for i, (b, ok) in enumerate(zip(best, lettered, strict=True))], post
@@ -221,6 +255,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     empty or has no letter, or where nothing was learned. Long texts are worked through whole, in blocks. The model has a
     fixed size (2**bits weights for each language) and is broadcast.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.bits, model.weights, model.trans))
 
     @F.arrow_udf("struct<lang_pred string, score double>")
@@ -228,14 +263,14 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         m = LanguageModel.__new__(LanguageModel)
         m.labels, m.bits, m.weights, m.trans = shared.value
         lang, score = [], []
-        for b in pieces([pa.record_batch([text], names=["text"])], most=2 << 20):
+        for b in pieces([pa.record_batch([text], names=["text"])]):
             x, y, _ = m.predict(raw(b.column("text")))
             lang += x
             score += y
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("_p", run("text")).select(*kept, "_p.lang_pred", "_p.score")
+    made = carried(docs, p=run("text"))
+    return made.select(*unpacked(docs, ("lang_pred", "score")), "p.lang_pred", "p.score")
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, pieces, raw
+from .common import Words, bound_batches, pieces, raw
 from .licence_texts import TEMPLATES
 
 
@@ -93,6 +93,7 @@ def scan_licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     any length are scanned; null and empty texts and texts of one word have no match. The templates are a parameter on the
     driver and travel with the task. A column of docs named licences is replaced.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((templates, threshold))
     held = {}
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, components, mix, parts, pieces, raw
+from .common import Scratch, Words, components, give_back, mix, parts, pieces, raw
 
 #: Slots of a signature (minima of so many hash functions) and the bits of each that travel for the distance test.
 SLOTS, SLOT_BITS = 48, 4
@@ -115,7 +115,14 @@ def spanning_forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _grouped(batches, keys: list[str]):
-    """Rows of a sorted stream, a group at a time, as (columns of the group as numpy or lists)."""
+    """Whole groups of a sorted stream: tables of some groups, and where each begins and the last ends."""
+    try:
+        yield from _whole_groups(batches, keys)
+    finally:
+        give_back()
+
+
+def _whole_groups(batches, keys: list[str]):
     held = None
     for batch in batches:
         t = pa.Table.from_batches([batch])
@@ -266,8 +273,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     members = nodes.select("id", "hi", "n_shingles").join(cluster.withColumnRenamed("component", "cluster"), "id")
     weight = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     blocks = F.greatest(F.ceil(F.col("n") / CLUSTER_DOCS), F.ceil(F.col("s") / CLUSTER_SHINGLES)).cast("int")
-    members = members.join(weight.select("cluster", blocks.alias("nb")), "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    members = scratch.save(members.select("id", "hi", "cluster", "nb", "block"), "members")
+    # tables with a row for each large cluster are written by themselves: joins with them can be broadcast or split
+    large = scratch.save(weight.select("cluster", blocks.alias("nb")).where("nb > 1"), "large")
+    members = members.join(large, "cluster", "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
+    members = scratch.save(members.select("id", "hi", "cluster", "nb", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("block")), "members")
     words = scratch.save(texts.withColumnRenamed("doc_id", "id").join(members.select("id").distinct().hint("shuffle_hash"), "id"), "texts")
 
     def confirm(units: DataFrame, name: str) -> DataFrame:
@@ -285,8 +294,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
         so_far = scratch.save(components(scratch, links, "part"), "part")
         at = hot.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
         top = at.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+        top = scratch.save(top, "top")
         outside = at.join(top, "cluster").where("component <> top").select("id", "hi", "cluster", "nb")
         count = outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_DOCS).cast("int").alias("nc"))
+        count = scratch.save(count, "outside")
         outside = outside.join(count, "cluster").withColumn("chunk", (F.pmod(F.xxhash64("id", F.lit(5)), F.col("nc")) + 1).cast("int"))
         left = outside.select("id", "hi", "cluster", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "chunk")
         right = hot.join(count, "cluster").select("id", "hi", "cluster", "block", F.explode(F.sequence(F.lit(1), F.col("nc"))).alias("chunk"))

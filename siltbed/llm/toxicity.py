@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, raw
+from .common import bound_batches, pieces, raw
 from .language_id import held_out
 
 #: Look-alike characters and digits, folded to Latin letters before matching.
@@ -177,6 +177,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -
     Null and empty texts and texts without a match score 0. Texts are matched whole. The lexicon is bounded by its sample
     and broadcast.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     @F.arrow_udf("double")
