@@ -5,24 +5,26 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import pieces, raw
+from .common import bound_batches, pieces, raw
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁".encode()
 #: A segment is a run of blanks and what follows up to the next blank; no piece reaches over the start of one.
 _SEGMENT = re.compile(rb" *[^ ]+| +")
 #: Widest piece in bytes that an edge key can hold, and bytes of new segments that are indexed at once.
-WIDEST, INDEXED = 64, 1 << 19
+WIDEST, INDEXED = 64, 1 << 17
 #: Segments longer than this are relaxed with a heap instead of in rounds.
 LONG = 64
 #: Bytes of segments that a worker remembers.
-REMEMBERED = 32 << 20
+REMEMBERED = 48 << 20
 
 
 class Pieces:
@@ -65,14 +67,24 @@ class Pieces:
 
 def suffix_array(data: np.ndarray, words: np.ndarray, width: int) -> np.ndarray:
     """Suffixes of data by their first ``width`` bytes at least: prefix doubling, beginning with eight bytes (words)."""
-    rank = np.unique(words, return_inverse=True)[1]
     done, n = 8, len(data)
-    while done < width:
+    order, rank, tied = _ranked(words)
+    while done < width and tied:
         after = np.zeros(n, np.int64)
         after[: max(0, n - done)] = rank[done:] + 1
-        rank = np.unique(rank * np.int64(n + 2) + after, return_inverse=True)[1]
+        order, rank, tied = _ranked(rank * np.int64(n + 2) + after)
         done *= 2
-    return np.argsort(rank, kind="stable")
+    return order
+
+
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Order of keys, the rank of each, and whether some are equal."""
+    order = np.argsort(keys)
+    in_order = keys[order]
+    step = np.concatenate([[False], in_order[1:] != in_order[:-1]])
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(step)
+    return order, rank, len(keys) > 0 and int(step.sum()) + 1 < len(keys)
 
 
 def piece_edges(segments: list[bytes], p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,25 +101,34 @@ def piece_edges(segments: list[bytes], p: Pieces) -> tuple[np.ndarray, np.ndarra
         words = (words << np.uint64(8)) | padded[j : len(padded) - 7 + j]
     sa = suffix_array(data, words[: len(data)], 8 * p.low.shape[1])
 
-    def bound(keys: np.ndarray, or_equal: bool) -> np.ndarray:
-        """For each piece the number of suffixes below (or at) its key; one binary search for all pieces at once."""
-        lo, hi = np.zeros(len(keys), np.int64), np.full(len(keys), len(sa), np.int64)
+    def below(at: np.ndarray, keys: np.ndarray, or_equal: bool) -> np.ndarray:
+        """Which suffixes lie below their key (or at it), a word of eight bytes at a time."""
+        less, tied = np.zeros(len(at), bool), np.arange(len(at))
+        for w in range(keys.shape[1]):
+            s, k = words[at[tied] + 8 * w], keys[tied, w]
+            less[tied[s < k]] = True
+            tied = tied[s == k]
+            if not tied.size:
+                break
+        if or_equal:
+            less[tied] = True
+        return less
+
+    def bound(keys: np.ndarray, lo: np.ndarray, or_equal: bool) -> np.ndarray:
+        """For each key the number of suffixes below it (or at it), at least lo; one binary search for all keys at once."""
+        lo, hi = lo.copy(), np.full(len(keys), len(sa), np.int64)
         while (open_ := np.flatnonzero(lo < hi)).size:
             mid = (lo[open_] + hi[open_]) >> 1
-            at, less, tied = sa[mid], np.zeros(len(open_), bool), np.arange(len(open_))
-            for w in range(keys.shape[1]):
-                s, k = words[at[tied] + 8 * w], keys[open_[tied], w]
-                less[tied[s < k]] = True
-                tied = tied[s == k]
-                if not tied.size:
-                    break
-            if or_equal:
-                less[tied] = True
+            less = below(sa[mid], keys[open_], or_equal)
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
         return lo
 
-    lo, hi = bound(p.low, False), bound(p.high, True)
+    lo = bound(p.low, np.zeros(len(p.low), np.int64), False)
+    hi = lo.copy()
+    there = np.flatnonzero(lo < len(sa))
+    there = there[below(sa[lo[there]], p.high[there], True)]  # the others don't occur
+    hi[there] = bound(p.high[there], lo[there], True)
     count = hi - lo
     which = np.repeat(np.arange(len(count)), count)
     place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
@@ -202,31 +223,32 @@ def encode_segments(segments: list[bytes], p: Pieces) -> list[bytes]:
         keep[at + 1] = False
         at = at - np.arange(len(at))  # one symbol goes for each earlier merge
         start, end, seg, prio = start[keep], end[keep], seg[keep], prio[keep]
-        again = np.unique(np.concatenate([at, at - 1]))
-        again = again[again >= 0]
+        near = np.zeros(len(start) + 1, bool)
+        near[at] = near[at - 1] = True  # the last place stands for the one before the first
+        again = np.flatnonzero(near[:-1])
         prio[again] = never
         again = again[again + 1 < len(seg)]
         again = again[seg[again] == seg[again + 1]]
         prio[again] = priority(start[again], end[again + 1])
     start, end, seg = (np.concatenate(x) for x in zip(*done, strict=True))
-    order = np.argsort(start, kind="stable")
+    order = np.argsort(start)
     start, end, seg = start[order], end[order], seg[order]
     found = lookup(start, end)
-    out: list = [p.ids[x] if x >= 0 else None for x in found]
-    cut = np.searchsorted(seg, np.arange(len(segments) + 1))
-    if (found < 0).any():
-        result = []
-        for g in range(len(segments)):
-            ids = []
-            for x in range(cut[g], cut[g + 1]):
-                if out[x] is not None:
-                    ids.append(out[x])
-                else:  # a character that is no piece becomes its bytes, or the unknown id without byte pieces
-                    ids += [p.bytes[v] for v in data[start[x] : end[x]].tolist()] if p.bytes[0] >= 0 else [p.unknown]
-            result.append(np.array(ids, "<i4").tobytes())
-        return result
-    flat = p.ids[found].astype("<i4").tobytes()
-    return [flat[4 * a : 4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    ids, size = p.ids[found], np.ones(len(found), np.int64)
+    gone = np.flatnonzero(found < 0)
+    if len(gone):  # a character that is no piece becomes its bytes, or the unknown id without byte pieces
+        by_byte = np.array(p.bytes)
+        if p.bytes[0] < 0:
+            ids[gone] = p.unknown
+        else:
+            size[gone] = (end - start)[gone]
+            at = np.flatnonzero(np.repeat(found < 0, size))
+            place = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            ids = np.repeat(ids, size)
+            ids[at] = by_byte[data[place[at]]]
+    cut = 4 * np.concatenate([[0], np.cumsum(size)])[np.searchsorted(seg, np.arange(len(segments) + 1))]
+    flat = ids.astype("<i4").tobytes()
+    return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
 class Codec:
@@ -241,20 +263,21 @@ class Codec:
         """Ids of each text as little-endian int32 bytes; nothing for null and empty texts."""
         cut = [_SEGMENT.findall(b" " + t.replace(_MARK, b" ")) if t else [] for t in texts]
         if self.held > REMEMBERED:
-            self.known, self.held = {}, 0
+            self.forget()
         known = self.known
-        new = list({s for segs in cut for s in segs if s not in known})
+        new = list(set(chain.from_iterable(cut)).difference(known))
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) + 1)
         at = 0
         while at < len(new):
-            to, size = at, 0
-            while to < len(new) and (to == at or size + len(new[to]) < INDEXED):
-                size += len(new[to]) + 1
-                to += 1
-            for s, ids in zip(new[at:to], encode_segments(new[at:to], self.pieces), strict=True):
-                known[s] = ids
-                self.held += len(s) + len(ids) + 100
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + INDEXED, side="right")))
+            found = encode_segments(new[at:to], self.pieces)
+            known.update(zip(new[at:to], found, strict=True))
+            self.held += int(ends[to - 1] - (ends[at - 1] if at else 0)) + sum(map(len, found)) + 100 * (to - at)
             at = to
-        return [b"".join([known[s] for s in segs]) for segs in cut]
+        return [b"".join(map(known.__getitem__, segs)) for segs in cut]
+
+    def forget(self) -> None:
+        self.known, self.held = {}, 0
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the blank that encoding puts in front."""
@@ -277,6 +300,7 @@ class Tokenizer:
     """Column functions for a model file, which the driver reads and broadcasts (half a megabyte)."""
 
     def __init__(self, spark: SparkSession, path: str = MODEL):
+        bound_batches(spark)
         with open(path, "rb") as f:
             model = spark.sparkContext.broadcast(f.read())
 
@@ -324,9 +348,29 @@ def _lists(tokens: pa.Array):
     return (x if x.is_valid else None for x in tokens)
 
 
-def tokenize(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """All rows and columns of docs with tokens (replaced if it exists). Whole texts; null and empty texts have no tokens."""
-    return docs.withColumn("tokens", Tokenizer(docs.sparkSession, path).encode("text"))
+def tokenize(docs: DataFrame, path: str = MODEL, columns: list[str] | None = None) -> DataFrame:
+    """Columns of docs (all by default) with tokens (replaced if it exists), for all rows.
+
+    Whole texts; null and empty texts have no tokens. Rows come back a megabyte of text at a time, so that a task holds few
+    tokens however many rows Spark hands over at once; texts that aren't asked for stay behind.
+    """
+    spark = docs.sparkSession
+    bound_batches(spark)
+    with open(path, "rb") as f:
+        model = spark.sparkContext.broadcast(f.read())
+    kept = [c for c in (docs.columns if columns is None else columns) if c != "tokens"]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("tokens", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        codec = _codec(model.value)
+        for b in pieces(batches, "_text"):
+            got = codec.encode(raw(b.column("_text")))
+            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32()))
+            yield pa.record_batch([*(b.column(c) for c in kept), tokens], names=[*kept, "tokens"])
+        codec.forget()  # the worker lives on
+
+    return docs.select(*kept, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
 def op7_sentencepiece(spark, sf_dir: str) -> DataFrame:
