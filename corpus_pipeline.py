@@ -38,7 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and tokens."""
-    out = sentencepiece_codec.tokenize(docs)
+    out = sentencepiece_codec.tokenize(docs, columns=["doc_id", "lang", "source"])
     return out.select("doc_id", "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), "tokens")
 
 
