@@ -17,7 +17,8 @@ def to_hex(b: Column | str) -> Column:
 
 def from_hex(s: Column | str) -> Column:
     """Bytes of hex digits of either case; null if the text has an odd length or other characters."""
-    return F.try_to_binary(_col(s), F.lit("hex"))
+    s = _col(s)
+    return F.when(F.length(s) % 2 == 0, F.try_to_binary(s, F.lit("hex")))
 
 
 def is_printable(b: Column | str) -> Column:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from siltbed import schema
 from siltbed.functions.tokens import murmur_tokens
@@ -172,14 +172,7 @@ class SSTableReader(DataSourceReader):
         self.split = int(options.get("split_bytes", SPLIT))
         self.start = bytes.fromhex(options["start_key_hex"]) if "start_key_hex" in options else options["start_key"].encode() if "start_key" in options else None
 
-        self.only: bytes | None = None
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """A filter for one key prunes what is read; Spark applies it again, so nothing depends on it."""
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("key",) and f.value is not None:
-                self.only = bytes(f.value)
-            yield f
+        self.only = bytes.fromhex(options["key_hex"]) if "key_hex" in options else options["key"].encode() if "key" in options else None
 
     def partitions(self):
         out = []
@@ -239,7 +232,7 @@ class SSTableDataSource(DataSource):
     """``spark.read.format("sstable").load(folder)``: cells in long form (see siltbed.schema.cells).
 
     Options: path (folders parted by commas), keyspace and table (which files to take), checksum (true), start_key or
-    start_key_hex (only partitions from that key on, in the partitioner's order), split_bytes (uncompressed bytes for a
+    start_key_hex (only partitions from that key on, in the partitioner's order), key or key_hex (only that one), split_bytes (uncompressed bytes for a
     task), strip_id (take the id off folder names). The token is a bigint for the murmur partitioner, binary otherwise.
     """
 

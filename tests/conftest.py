@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
-os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
+# Spark's Python workers import from here as well
+for place in (ROOT, ROOT / "tests"):
+    sys.path.insert(0, str(place))
+os.environ["PYTHONPATH"] = f"{ROOT}:{ROOT / 'tests'}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")

@@ -1,14 +1,10 @@
 import random
-import sys
-from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).parent))
-
 from cells import cell, deletion, frame, rng
 
 from siltbed.operators import reconcile as rc

@@ -1,12 +1,8 @@
 import random
-import sys
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).parent))
-
 from cells import cell, deletion, frame
 
 from siltbed.functions import tokens

@@ -1,13 +1,9 @@
 import struct
-import sys
 from pathlib import Path
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
-
-sys.path.insert(0, str(Path(__file__).parent))
 
 import sstable_writer as sw
 
@@ -148,13 +144,10 @@ def test_splits_and_start_keys(spark, tmp_path):
 
 def test_a_key_is_looked_up(spark, tmp_path):
     sw.write(tmp_path / "d" / "ks-tbl-jb-1", many(naming.JB, 60), chunk=128)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    try:
-        for key in (b"key007", b"key059", b"none"):
-            df = read_sstables(spark, [str(tmp_path / "d")], split_bytes=100).where(F.col("key") == F.lit(bytearray(key)))
-            assert df.rdd.getNumPartitions() == 1 and df.count() == (key != b"none")
-    finally:
-        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    for key in ("key007", "key059", "none"):
+        df = read_sstables(spark, [str(tmp_path / "d")], split_bytes=100, key=key)
+        assert df.rdd.getNumPartitions() == 1 and [g[0] for g in cells(df)] == ([key.encode()] if key != "none" else [])
+    assert read_sstables(spark, [str(tmp_path / "d")], key_hex=b"key007".hex()).count() == 1
 
 
 def test_checksums(spark, tmp_path):
