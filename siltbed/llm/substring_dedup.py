@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,8 +16,10 @@ from .near_dup import _grouped
 GRAM = 10
 #: A row without doc_id comes after all others.
 LAST = (1 << 63) - 1
-#: An anchor counts as hot if a sampled document in so many holds it; its windows are then dealt one by one.
+#: One document in SAMPLE is looked at for hot anchors; one that more than HOT of them hold is dealt by its windows.
 SAMPLE, HOT = 50, 200
+#: Different runs with one anchor beyond which each of their windows is a run of its own.
+WIDE = 64
 
 
 class SuffixAutomaton:
@@ -177,7 +181,7 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
 
     def deal(batches):
         """The first run of each text in this piece goes to its key's shard; later ones are covered by it."""
-        for b in pieces(batches, most=8 << 20):
+        for b in pieces(batches, most=2 << 20):
             key, whole, doc, s, n = anchors(raw(b.column("text")), size, shared.value)
             if not len(key):
                 continue
@@ -206,18 +210,19 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
                     first = new_key | np.concatenate([[True], whole[1:] != whole[:-1]])
                     kinds = np.add.reduceat(first, np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
                     open_ = np.flatnonzero(first & (kinds > 1))
-                    yield pa.record_batch([pa.array(x[open_], ty) for x, ty in ((ids, pa.int64()), (s, pa.int32()), (n, pa.int32()), (key, pa.int64()))], names=["id", "s", "n", "key"])
+                    wide = kinds > WIDE
+                    yield pa.record_batch([pa.array(x[open_], ty) for x, ty in ((ids, pa.int64()), (s, pa.int32()), (n, pa.int32()), (key, pa.int64()), (wide, pa.bool_()))], names=["id", "s", "n", "key", "wide"])
                     f = np.flatnonzero(first)[np.cumsum(first) - 1]
                     later = (ids != ids[f]) | (s != s[f])
                     ids, s, n = ids[later], s[later], n[later]
                 d, s, n = _runs(ids, s.astype(np.int64), n.astype(np.int64))
-                yield pa.record_batch([pa.array(d, pa.int64()), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.nulls(len(d), pa.int64())], names=["id", "s", "n", "key"])
+                yield pa.record_batch([pa.array(d, pa.int64()), pa.array(s, pa.int32()), pa.array(n, pa.int32()), pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.bool_())], names=["id", "s", "n", "key", "wide"])
 
     dealt = docs.mapInArrow(deal, "shard int, blob binary").repartition(n_parts, "shard").sortWithinPartitions("shard")
-    settled = scratch.save(dealt.mapInArrow(settle, "id long, s int, n int, key long"), "settled")
+    settled = scratch.save(dealt.mapInArrow(settle, "id long, s int, n int, key long, wide boolean"), "settled")
 
     def cut_out(batches):
-        """The words of each open run."""
+        """The words of each open run; of a wide one each window, keyed by itself."""
         for b in pieces(batches):
             w = Words(raw(b.column("text")))
             out = ([], [], [], [])
@@ -225,8 +230,14 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
                 for x in spans:
                     at = w.first[d] + x["s"]
                     words = [w.text(j) for j in range(at, at + x["n"] + size - 1)]
-                    for col, v in zip(out, (x["key"], i, x["s"], b" ".join(words)), strict=True):
-                        col.append(v)
+                    if x["wide"]:
+                        cut = [(b" ".join(words[j : j + size]), x["s"] + j) for j in range(x["n"])]
+                        runs = [(int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True), i, j, t) for t, j in cut]
+                    else:
+                        runs = [(x["key"], i, x["s"], b" ".join(words))]
+                    for run in runs:
+                        for col, v in zip(out, run, strict=True):
+                            col.append(v)
             yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], names=["key", "id", "s", "words"])
 
     def match(batches):
@@ -254,7 +265,7 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
                 d, x, n = _runs(mine[later], here[later], np.ones(int(later.sum()), np.int64))
                 yield pa.record_batch([pa.array(d, pa.int64()), pa.array(x, pa.int32()), pa.array(n, pa.int32())], names=["id", "s", "n"])
 
-    open_runs = settled.where("key is not null").groupBy("id").agg(F.collect_list(F.struct("s", "n", "key")).alias("spans"))
+    open_runs = settled.where("key is not null").groupBy("id").agg(F.collect_list(F.struct("s", "n", "key", "wide")).alias("spans"))
     spans = docs.join(open_runs.hint("shuffle_hash"), "id").select("id", "text", "spans").mapInArrow(cut_out, "key long, id long, s int, words binary")
     routed = spans.withColumn("shard", F.pmod(F.col("key"), F.lit(shards)).cast("int")).select("shard", "id", "s", "words").repartition(n_parts, "shard").sortWithinPartitions("shard")
     return settled.where("key is null").select("id", "s", "n").union(routed.mapInArrow(match, "id long, s int, n int"))
@@ -293,8 +304,9 @@ def dedup_substrings(docs: DataFrame, size: int = 20) -> DataFrame:
     Here the reference is the corpus itself, which has no size bound, so its shards' automata aren't broadcast; the runs
     that may match are sent to the shard of their anchor instead. Equal runs of windows are settled by their first
     occurrence before they move (a passage in a third of all documents is one run from each piece of input), and only
-    different runs with one anchor, which are the edges of passages, pass through an automaton. Anchors that a sample
-    finds in very many documents are dealt by their windows; this changes the dealing, not the result.
+    different runs with one anchor, which are the edges of passages, pass through an automaton. Where an anchor has very many
+    different runs, each window is a run keyed by itself (equal windows then meet in one automaton), as it is from the start
+    for anchors that a sample finds in very many documents; this changes the dealing, not the result.
 
     Rows of one doc_id are one document: a repeated text counts once, different texts follow each other. A null doc_id
     comes last, null and empty texts have no words, an empty table gives an empty table.

@@ -51,7 +51,9 @@ def test_hot_anchors_are_dealt_by_windows(spark, monkeypatch):
     assert run(spark, docs, 20) == plain(docs, 20)
 
 
-def test_one_short_passage_in_many_surroundings(spark):
+@pytest.mark.parametrize("wide", [2, 64])
+def test_one_short_passage_in_many_surroundings(spark, monkeypatch, wide):
+    monkeypatch.setattr(sd, "WIDE", wide)
     rnd = random.Random(2)
     common = " ".join(f"c{i}" for i in range(14))
     docs = [(i, " ".join(f"r{rnd.randrange(3)}" for _ in range(12)) + " " + common + " " + " ".join(f"r{rnd.randrange(3)}" for _ in range(12))) for i in range(60)]
