@@ -194,30 +194,50 @@ class Words:
         return out
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) of a partition as stars around the smallest id of each of its components, by union-find."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        up.setdefault(x, x)
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            x, y = root(a), root(b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    ids = [x for x in up if root(x) != x]
+    for at in range(0, len(ids), 1 << 16):
+        part = ids[at : at + (1 << 16)]
+        yield pa.record_batch([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["a", "b"])
+
+
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(id, component): the smallest id that each id of ``edges`` (a, b) reaches. Ids without an edge are not in the result.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014): every round is a few shuffles whose groups are
-    summed up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
+    Each partition's edges are contracted to stars first. Then rounds of large-star and small-star steps (Kiveris et al.,
+    2014) until all that is left is stars, which one aggregation shows: every round is a few shuffles whose groups are summed
+    up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
     round. Ends after a number of rounds that is logarithmic in practice.
     """
-    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    print_key = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).cast("string")
-    state, k = None, 0
+    stars = edges.select("a", "b").where("a <> b").mapInArrow(contracted, "a long, b long")
+    now, k = scratch.save(stars.distinct(), f"{name}-0"), 0
     while True:
-        both = now.union(now.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m"))
+        # an id that is both an end and a centre, or the end of several edges, shows that more is to be joined
+        seen = now.select(F.col("a").alias("id"), F.lit(1).alias("end"), F.lit(0).alias("centre")).union(now.select(F.col("b").alias("id"), F.lit(0), F.lit(1)))
+        if seen.groupBy("id").agg(F.sum("end").alias("end"), F.max("centre").alias("centre")).where("end + centre > 1 and end > 0").isEmpty():
+            break
+        low = now.union(now.select("b", "a")).groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         # large star: every larger neighbour of u goes to the least of u and its neighbours
-        large = now.select(F.col("b").alias("u"), F.col("a").alias("v")).join(low.withColumnRenamed("a", "u"), "u").select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
-        extra = now.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low.withColumnRenamed("a", "u"), "u").where("v <> m").select(F.col("v").alias("x"), F.col("m").alias("y"))
-        own = low.where("m < a").select("a", F.col("m").alias("b"))
-        nxt = large.union(own).union(extra.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).where("a <> b").distinct()
+        large = now.select(F.col("b").alias("u"), F.col("a").alias("v")).join(low, "u").select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
+        # small star: u and its smaller neighbours go to the least of them
+        small = now.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
+        own = low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))
         k += 1
-        now, seen = scratch.observed(nxt, f"{name}-{k}", n=F.count(F.lit(1)), h=print_key)
-        if k > 1:
-            scratch.drop(f"{name}-{k - 1}")
-        if state == seen:
-            break
-        state = seen
+        now = scratch.save(large.union(own).union(small).where("a <> b").distinct(), f"{name}-{k}")
+        scratch.drop(f"{name}-{k - 1}")
     roots = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)

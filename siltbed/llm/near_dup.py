@@ -290,24 +290,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     pivots = pivots.select("cluster", "p.id", "p.hi", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"))
     first = members.select(*columns).union(pivots.select(*columns)).distinct()
     links = confirm(first, "links")
-    if not hot.isEmpty():
-        so_far = scratch.save(components(scratch, links, "part"), "part")
-        at = hot.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        top = at.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-        top = scratch.save(top, "top")
-        outside = at.join(top, "cluster").where("component <> top").select("id", "hi", "cluster", "nb")
-        count = outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_DOCS).cast("int").alias("nc"))
-        count = scratch.save(count, "outside")
-        outside = outside.join(count, "cluster").withColumn("chunk", (F.pmod(F.xxhash64("id", F.lit(5)), F.col("nc")) + 1).cast("int"))
-        left = outside.select("id", "hi", "cluster", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "chunk")
-        right = hot.join(count, "cluster").select("id", "hi", "cluster", "block", F.explode(F.sequence(F.lit(1), F.col("nc"))).alias("chunk"))
-        links = links.union(confirm(left.union(right).distinct(), "more"))
     # documents whose rows have different texts hold their classes together
     several = linked.groupBy("doc_id").agg(F.min("hi").alias("a"), F.max("hi").alias("b")).where("a <> b").select("doc_id")
     if not several.isEmpty():
         bridges = linked.join(several, "doc_id").join(classes, ["hi", "lo"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b")
         links = links.union(bridges.distinct())
     found = scratch.save(components(scratch, links, "linked"), "found")
+    if not hot.isEmpty():
+        at = hot.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        top = at.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("top"))
+        top = scratch.save(top, "top")
+        outside = at.join(top, "cluster").where("component <> top").select("id", "hi", "cluster", "nb")
+        count = scratch.save(outside.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_DOCS).cast("int").alias("nc")), "outside")
+        outside = outside.join(count, "cluster").withColumn("chunk", (F.pmod(F.xxhash64("id", F.lit(5)), F.col("nc")) + 1).cast("int"))
+        left = outside.select("id", "hi", "cluster", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "chunk")
+        right = hot.join(count, "cluster").select("id", "hi", "cluster", "block", F.explode(F.sequence(F.lit(1), F.col("nc"))).alias("chunk"))
+        more = confirm(left.union(right).distinct(), "more")
+        if not more.isEmpty():
+            so_far = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            found = scratch.save(components(scratch, so_far.union(more), "all"), "found-all")
     by_class = classes.join(found, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component_id"))
     by_class = scratch.save(by_class, "classes")
     out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("hi")).alias("hi"), "lo").join(by_class, ["hi", "lo"], "left")
