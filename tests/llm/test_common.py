@@ -1,11 +1,11 @@
 import random
 
-import numpy as np
 import pyarrow as pa
 from helpers import components as plain
 from helpers import made_up, words
+from pyspark.sql import functions as F
 
-from siltbed.llm.common import Scratch, Words, components, pieces, shared_dir
+from siltbed.llm.common import Scratch, Words, bound_batches, carried, components, pieces, shared_dir, unpacked
 
 
 def test_words_are_those_of_the_pattern_and_hash_alike():
@@ -47,4 +47,27 @@ def test_components_of_no_edges(spark):
 
 def test_the_shared_folder_is_the_one_that_the_session_names(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert np.array_equal(np.sort(np.array([3, 1])), [1, 3])
+
+
+def test_batches_are_bounded_once(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for given, kept in (("10000", "1000"), ("0", "1000"), ("64", "64")):
+        spark.conf.set(name, given)
+        bound_batches(spark)
+        assert spark.conf.get(name) == kept
+    spark.conf.unset(name)
+
+
+def test_tables_are_written_to_the_shared_folder(spark):
+    scratch = Scratch(spark, "test")
+    df = scratch.save(spark.range(10).selectExpr("id", "id % 3 AS p"), "t", by=["p"])
+    assert df.where("p = 1").count() == 3 and scratch.root.startswith(shared_dir(spark))
+    out, seen = scratch.observed(spark.range(7), "u", n=F.count(F.lit(1)))
+    assert seen == {"n": 7} and out.count() == 7
+    scratch.drop("u")
+
+
+def test_clashing_names_are_carried(spark):
+    df = spark.createDataFrame([(1, "x", 2)], ["id", "row", "a.b"])
+    got = carried(df, id=F.lit(9)).select(*unpacked(df, ("id",), row=F.lit("y")), "id").collect()[0]
+    assert got.asDict() == {"row": "y", "a.b": 2, "id": 9}
