@@ -223,8 +223,12 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
     round. Ends after a number of rounds that is logarithmic in practice.
     """
+    def dealt(df: DataFrame) -> DataFrame:
+        """Edges of one end meet in one partition and are contracted there, so every end has one centre."""
+        return df.repartition(parts(scratch.spark), "a").mapInArrow(contracted, "a long, b long")
+
     stars = edges.select("a", "b").where("a <> b").mapInArrow(contracted, "a long, b long")
-    now, k = scratch.save(stars.distinct(), f"{name}-0"), 0
+    now, k = scratch.save(dealt(stars), f"{name}-0"), 0
     while True:
         # an id that is both an end and a centre, or the end of several edges, shows that more is to be joined
         seen = now.select(F.col("a").alias("id"), F.lit(1).alias("end"), F.lit(0).alias("centre")).union(now.select(F.col("b").alias("id"), F.lit(0), F.lit(1)))
@@ -237,7 +241,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         small = now.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
         own = low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))
         k += 1
-        now = scratch.save(large.union(own).union(small).where("a <> b").distinct(), f"{name}-{k}")
+        now = scratch.save(dealt(large.union(own).union(small).where("a <> b")), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
     roots = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
