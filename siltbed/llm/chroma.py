@@ -166,7 +166,8 @@ def fingerprints(media: DataFrame, audio: str = "audio", to: str = "fingerprint"
     def run(data: pa.Array) -> pa.Array:
         return pa.array([fingerprint(read(x.as_py())).view(np.int32) for x in data], pa.list_(pa.int32()))
 
-    return media.withColumn(to, run(audio))
+    # not to be worked out twice for a filter on the result
+    return media.withColumn(to, run.asNondeterministic()(audio))
 
 
 def matches(prints: DataFrame, is_query, least_votes: int = 4, most_errors: float = 0.25) -> DataFrame:

@@ -269,7 +269,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             score += y
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
 
-    made = carried(docs, p=run("text"))
+    # a filter on the result would else be pushed below and work all of it out twice
+    made = carried(docs, p=run.asNondeterministic()("text"))
     return made.select(*unpacked(docs, ("lang_pred", "score")), "p.lang_pred", "p.score")
 
 

@@ -118,7 +118,8 @@ def scan_licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         kind = pa.list_(pa.struct([("licence", pa.string()), ("template", pa.int32()), ("first_word", pa.int32()), ("n_words", pa.int32()), ("dice", pa.float64())]))
         return pa.array(out, kind)
 
-    return docs.withColumn("licences", run("text"))
+    # not to be worked out twice for a filter on the result
+    return docs.withColumn("licences", run.asNondeterministic()("text"))
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:

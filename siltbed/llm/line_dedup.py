@@ -124,7 +124,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: i
             gone.append(len(of) - len(kept))
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["text", "n_lines", "n_dropped"])
 
-    made = joined.select("row", rewrite(F.col("row.text"), F.col("gone")).alias("r"))
+    made = joined.select("row", rewrite.asNondeterministic()(F.col("row.text"), F.col("gone")).alias("r"))
     return made.select(*unpacked(docs, ("n_lines", "n_dropped"), text=F.col("r.text")), "r.n_lines", "r.n_dropped")
 
 
