@@ -84,40 +84,60 @@ class Lexicon:
 def learn(texts: list[str], labels: list[int], support: int = 4, exceptions: list[str] = ()) -> Lexicon:
     """A lexicon from labelled texts: folded words and word beginnings that tell toxic texts from clean ones.
 
-    An entry must stand out more than the luckiest of all candidates would by chance; its weight is its log odds. A
-    beginning stands for all words that it covers, so inflected forms that no sample shows are found as well. Two-word phrases around an entry that occur in at least ``support`` clean texts and no toxic one
-    become exceptions.
+    An entry must stand out more than the luckiest of all candidates would by chance, and not only in copies of texts that
+    other entries tell; its weight is its log odds. A beginning stands for all words that it covers, so inflected forms that
+    no sample shows are found as well. Two-word phrases around an entry that occur in at least ``support`` clean texts and
+    no toxic one become exceptions.
     """
     if not any(labels) or all(labels):
         return Lexicon({}, list(exceptions))
-    one, zero = Counter(), Counter()
     folded = [fold(t) for t in texts]
-    for t, y in zip(folded, labels, strict=True):
+
+    def candidates(text: str) -> set[str]:
         seen = set()
-        for word in set(t.split()):
+        for word in set(text.split()):
             seen.add(f" {word} ")
             seen.update(f" {word[:n]}" for n in range(4, min(9, len(word) + 1)))
-        (one if y else zero).update(seen)
+        return seen
+
+    one = Counter(e for t, y in zip(folded, labels, strict=True) if y for e in candidates(t))
+    held: dict[str, set[int]] = {e: set() for e, n in one.items() if n >= support}
+    del one
+    zero = Counter()
+    for k, (t, y) in enumerate(zip(folded, labels, strict=True)):
+        found = candidates(t) & held.keys()
+        if y:
+            for e in found:
+                held[e].add(k)
+        else:
+            zero.update(found)
     n1, n0 = sum(labels), len(labels) - sum(labels)
-    tried = [e for e, c in one.items() if c >= support]
-    base, need = n1 / (n1 + n0), math.log(max(1, len(tried))) + 4
+    base, need = n1 / (n1 + n0), math.log(max(1, len(held))) + 4
 
-    def telling(e: str) -> bool:
-        """Too many toxic texts hold e for chance among all that were tried (Chernoff's bound), and hardly a clean one."""
-        k, n = one[e], one[e] + zero[e]
-        share = k / n
+    def surprise(e: str) -> float:
+        """How little chance explains the toxic texts with e (Chernoff's bound, in nats); 0 if clean texts hold it as well."""
+        n = len(held[e]) + zero[e]
+        share = len(held[e]) / n
         if share <= 0.9 or share <= base:
-            return False
-        return n * (share * math.log(share / base) + (0 if k == n else (1 - share) * math.log((1 - share) / (1 - base)))) >= need
-
-    strong = {e for e in tried if telling(e)}
-    kept = {}
-    for e in sorted(strong, key=lambda e: (len(e.strip()), e)):
-        if any(e[: n + 1] in kept for n in range(4, len(e))):
-            continue
-        while longer := [x for x in strong if len(x) > len(e) and x.startswith(e) and one[x] >= 0.95 * one[e]]:
+            return 0.0
+        return n * (share * math.log(share / base) + (0 if share == 1 else (1 - share) * math.log((1 - share) / (1 - base))))
+
+    strong = {e: x for e in held if (x := surprise(e)) >= need}
+    # Copies of a toxic text make all of its words look telling. So the most telling entry comes first, and one after it has
+    # to stand after many different words, or to tell texts in which none of those before is. What it tells beyond entries
+    # that it begins has to be toxic as well.
+    kept, left = {}, {k for k, y in enumerate(labels) if y}
+    for e in sorted(strong, key=lambda e: (-strong[e], len(e), e)):
+        while longer := [x for x in strong if len(x) > len(e) and x.startswith(e) and len(held[x]) >= 0.95 * len(held[e])]:
             e = min(longer, key=lambda x: (len(x), x))  # as telling and more exact
-        kept[e] = math.log((one[e] + 0.5) / (n1 + 1)) - math.log((zero[e] + 0.5) / (n0 + 1))
+        if any(e.startswith(x) for x in kept):
+            continue
+        fresh = held[e].difference(*[held[x] for x in kept if x.startswith(e)])
+        before = {folded[k][: folded[k].find(e)].rpartition(" ")[2] for k in fresh}
+        new = len(fresh & left)
+        if len(fresh) >= 0.9 * (len(fresh) + zero[e]) and (new >= 2 and new >= 0.8 * (new + zero[e]) or len(before) >= max(8, len(fresh) / 2)):
+            kept[e] = math.log((len(held[e]) + 0.5) / (n1 + 1)) - math.log((zero[e] + 0.5) / (n0 + 1))
+            left -= held[e]
     safe, bad = Counter(), Counter()
     entry = Lexicon(kept)
     for t, y in zip(folded, labels, strict=True):
@@ -188,7 +208,8 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -
         return pa.array(out, pa.float64())
 
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    return docs.select(*kept, run("text").alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    # not to be worked out twice for a filter on the result
+    return docs.select(*kept, run.asNondeterministic()("text").alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
