@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch, components, parts
 from .near_dup import _grouped, spanning_forest
@@ -68,8 +69,10 @@ def plan_tables(n: int, cosine: float, miss: float = 1e-3) -> tuple[int, int]:
     return math.ceil(math.log(miss) / math.log(1 - same**width)), width
 
 
-def _matrix(col: pa.ChunkedArray) -> np.ndarray:
-    return np.array(col.to_pylist(), np.float64)
+def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a column of vectors."""
+    a = col.combine_chunks()
+    return a.values.to_numpy(zero_copy_only=False), a.offsets.to_numpy()
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
@@ -90,8 +93,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     """
     spark = vectors.sparkSession
     scratch, n_parts = Scratch(spark, "embedding-dedup"), parts(spark)
+    given = vectors.schema["embedding"].dataType.elementType
+    kind = "float" if isinstance(given, T.FloatType) else "double"  # floats travel as floats, cosines are of doubles
     # -0.0 + 0.0 is 0.0, so vectors that differ in the sign of a zero are equal
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("e"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("e"))
     fine = F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("e", lambda x: x != 0)
     rows = rows.withColumn("e", F.when(F.coalesce(fine, F.lit(False)), F.col("e")))
     classes, seen = scratch.observed(rows.where("e is not null").groupBy("e").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m")), "classes", n=F.count(F.lit(1)))
@@ -101,17 +106,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     def encode(batches):
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            dims = np.array([len(x) for x in t.column("e").to_pylist()])
+            dims = np.diff(_flat(t.column("e"))[1])
             for d in np.unique(dims):
                 part = t.filter(pa.array(dims == d))
                 c = Codes(int(d), tables, width)
-                code, factor = c.encode(c.rotate(c.unit(_matrix(part.column("e")))))
+                values, ends = _flat(part.column("e"))
+                code, factor = c.encode(c.rotate(c.unit(values[ends[0] : ends[-1]].reshape(-1, d))))
                 yield pa.record_batch(
                     [*(part.column(x).combine_chunks() for x in ("id", "m", "e")), pa.array(np.full(len(part), d), pa.int32()), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(factor, pa.float64()), pa.array(list(c.bands(code)), pa.list_(pa.int64()))],
                     names=["id", "m", "e", "dim", "code", "factor", "bands"],
                 )
 
-    coded = scratch.save(nodes.select("id", "m", "e").mapInArrow(encode, "id long, m long, e array<double>, dim int, code binary, factor double, bands array<long>"), "codes")
+    coded = scratch.save(nodes.select("id", "m", "e").mapInArrow(encode, f"id long, m long, e array<{kind}>, dim int, code binary, factor double, bands array<long>"), "codes")
     placed = coded.select("id", "m", "e", "dim", "code", "factor", F.posexplode("bands").alias("t", "band"))
     shared = coded.select("dim", F.posexplode("bands").alias("t", "band")).groupBy("dim", "t", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     units = placed.join(shared, ["dim", "t", "band"]).withColumn("nb", F.ceil(F.col("n") / BUCKET).cast("int"))
@@ -133,7 +139,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
                 to = max(at + 1, int(np.searchsorted(cut, cut[at] + 4096, side="right")) - 1)
                 lo, hi = cut[at], cut[to]
                 part = t.slice(lo, hi - lo)
-                x_all, f_all = part.column("e").to_pylist(), part.column("factor").to_numpy()
+                (x_all, ends), f_all = _flat(part.column("e")), part.column("factor").to_numpy()
                 code_all = part.column("code").to_pylist()
                 for g in range(at, to):
                     a, b = cut[g] - lo, cut[g + 1] - lo
@@ -141,7 +147,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
                     if d not in codes:
                         codes[d] = Codes(d, tables, width)
                     c = codes[d]
-                    x = c.unit(np.array(x_all[a:b]))
+                    x = c.unit(x_all[ends[a] : ends[b]].reshape(b - a, d))
                     code = np.frombuffer(b"".join(code_all[a:b]), np.uint8).reshape(b - a, -1)
                     z, f = c.rotate(x), f_all[a:b]
                     bound = c.upper(code, f, z)
