@@ -218,7 +218,7 @@ def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(id, component): the smallest id that each id of ``edges`` (a, b) reaches. Ids without an edge are not in the result.
 
-    Each partition's edges are contracted to stars first. Then rounds of large-star and small-star steps (Kiveris et al.,
+    Edges are dealt by one end and each partition's are contracted to stars. Then rounds of large-star and small-star steps (Kiveris et al.,
     2014) until all that is left is stars, which one aggregation shows: every round is a few shuffles whose groups are summed
     up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
     round. Ends after a number of rounds that is logarithmic in practice.
@@ -227,8 +227,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         """Edges of one end meet in one partition and are contracted there, so every end has one centre."""
         return df.repartition(parts(scratch.spark), "a").mapInArrow(contracted, "a long, b long")
 
-    stars = edges.select("a", "b").where("a <> b").mapInArrow(contracted, "a long, b long")
-    now, k = scratch.save(dealt(stars), f"{name}-0"), 0
+    now, k = scratch.save(dealt(edges.select("a", "b").where("a <> b")), f"{name}-0"), 0
     while True:
         # an id that is both an end and a centre, or the end of several edges, shows that more is to be joined
         seen = now.select(F.col("a").alias("id"), F.lit(1).alias("end"), F.lit(0).alias("centre")).union(now.select(F.col("b").alias("id"), F.lit(0), F.lit(1)))

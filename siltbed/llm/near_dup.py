@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, components, give_back, mix, parts, pieces, raw
+from .common import Scratch, Words, components, contracted, give_back, mix, parts, pieces, raw
 
 #: Slots of a signature (minima of so many hash functions) and the bits of each that travel for the distance test.
 SLOTS, SLOT_BITS = 48, 4
@@ -267,7 +267,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     units = units.withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
     units = units.select("key", "id", "s0", "s1", "s2", F.explode(pair).alias("u")).select("key", "u.i", "u.j", "id", "s0", "s1", "s2")
-    near = units.repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _close_pairs(it, bound), "a long, b long")
+    # contracted in the same worker: the buckets of one partition find many pairs more than once
+    near = units.repartition(n_parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: contracted(_close_pairs(it, bound)), "a long, b long")
     cluster = scratch.save(components(scratch, near, "near"), "clusters")
 
     members = nodes.select("id", "hi", "n_shingles").join(cluster.withColumnRenamed("component", "cluster"), "id")
