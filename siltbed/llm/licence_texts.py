@@ -1,5 +1,7 @@
 """Public licence notices, without names and years. Their wording is what the scan looks for."""
 
+from .licence_bodies import CC0, LGPL_2_1, LGPL_3
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
 to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
@@ -50,6 +52,43 @@ UNLICENSE = """This is free and unencumbered software released into the public d
 use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial
 or non-commercial, and by any means."""
 
+_UNLICENSE_REST = """In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE. For more information, please refer to <http://unlicense.org/>"""
+
+_LGPL_2_1 = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have
+received a copy of the GNU Lesser General Public License along with this library"""
+
+BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit
+the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license
+grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and
+all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object
+code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN
+NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+CDDL = """The contents of this file are subject to the terms of the Common Development and Distribution License (the "License"). You
+may not use this file except in compliance with the License. You can obtain a copy of the license at
+usr/src/OPENSOLARIS.LICENSE or http://www.opensolaris.org/os/licensing. See the License for the specific language governing
+permissions and limitations under the License."""
+
+_EPL = """This program and the accompanying materials are made available under the terms of the Eclipse Public License {version}"""
+
+#: No grant at all: the line reserves the rights. It also stands beside grants, in many headers.
+RESERVED = "LicenseRef-All-Rights-Reserved"
+
 ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
 for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
 including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The
@@ -61,7 +100,7 @@ may not be removed or altered from any source distribution."""
 MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
 
-#: (SPDX id, notice): a licence may have several notices.
+#: (SPDX id, notice): a licence may have several notices. README.md says what the set leaves out.
 TEMPLATES: list[tuple[str, str]] = [
     ("AGPL-3.0", _GPL.format(name="Affero General Public License", version="3")),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
@@ -86,4 +125,18 @@ TEMPLATES: list[tuple[str, str]] = [
     ("MPL-2.0", MPL),
     ("Unlicense", UNLICENSE),
     ("Zlib", ZLIB),
+    ("BSL-1.0", BOOST),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC0-1.0", CC0),
+    ("CC0-1.0", "CC0 1.0 Universal."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CDDL-1.0", CDDL),
+    ("EPL-1.0", _EPL.format(version="v1.0")),
+    ("EPL-2.0", _EPL.format(version="2.0")),
+    ("LGPL-2.1", LGPL_2_1),
+    ("LGPL-2.1", _LGPL_2_1),
+    ("LGPL-3.0", LGPL_3),
+    ("Unlicense", f"{UNLICENSE} {_UNLICENSE_REST}"),
+    (RESERVED, "All rights reserved."),
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, bound_batches, pieces, raw
-from .licence_texts import TEMPLATES
+from .licence_texts import RESERVED, TEMPLATES
 
 
 class LicenceWords(Words):
@@ -51,8 +51,8 @@ class Templates:
             least = self.threshold * (wide + n) / 2
             if len(hits) < least:
                 continue
-            # a window that is good enough begins at a hit, or at the last place where a window fits
-            begin = np.unique(np.minimum(hits, m - wide))
+            # the first of the best windows ends at a hit or begins at 0: else the window one word before is as good
+            begin = np.unique(np.maximum(hits - wide + 1, 0))
             inside = np.searchsorted(hits, begin + wide) - np.searchsorted(hits, begin)
             begin = begin[inside >= least]
             if not len(begin):
@@ -123,8 +123,12 @@ def scan_licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
-    """doc_id, licence (of the best match, null if there is none), dice, first_word, n_words and n_licences (different ones)."""
+    """doc_id, licence (of the best match, null if there is none), dice, first_word, n_words and n_licences (different ones).
+
+    Reserved rights are the best match only where nothing else is found: the line stands in the headers of many grants too.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    m = scan_licences(docs).withColumn("b", F.get("licences", F.lit(0)))
+    first = lambda x: F.get(x, F.lit(0))
+    m = scan_licences(docs).withColumn("b", F.coalesce(first(F.filter("licences", lambda x: x["licence"] != RESERVED)), first(F.col("licences"))))
     many = F.size(F.array_distinct(F.transform("licences", lambda x: x["licence"]))).cast("long")
     return m.select("doc_id", "b.licence", "b.dice", "b.first_word", "b.n_words", many.alias("n_licences"))

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from siltbed.llm.licence_texts import MIT, TEMPLATES
-from siltbed.llm.licences import scan_licences
+from siltbed.llm.licences import op5_license_scan, scan_licences
 
 
 def bigrams(text):
@@ -49,3 +49,16 @@ def test_names_clash_and_tables_are_empty(spark):
     assert scan_licences(df).collect()[0]["licences"][0]["licence"] == "MIT"
     assert scan_licences(df.where("false")).count() == 0
     assert scan_licences(df, [("none", ""), ("one", "word")]).collect()[0]["licences"] == []
+
+
+def test_reserved_rights_and_missing_licences(spark, tmp_path):
+    name = dict(map(reversed, TEMPLATES))
+    by = {n: [t for t, x in name.items() if x == n] for n in ("BSL-1.0", "CC0-1.0", "CDDL-1.0", "EPL-1.0", "EPL-2.0", "LGPL-2.1", "LGPL-3.0", "Unlicense", "BSD-3-Clause")}
+    want = {i: (n, t) for i, (n, t) in enumerate((n, garbled(t, 5, 0.03) if len(t) > 400 else t) for n, ts in by.items() for t in ts)}
+    want[100] = ("LicenseRef-All-Rights-Reserved", "some words here\nAll rights reserved.\nand some more")
+    want[101] = ("BSD-3-Clause", f"Copyright (c) X. All rights reserved. {garbled(by['BSD-3-Clause'][0], 6, 0.03)}")
+    want[102] = (None, "all of the rights were reserved for later")
+    spark.createDataFrame([(i, t) for i, (_, t) in want.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op5_license_scan(spark, str(tmp_path)).collect()}
+    assert {i: r["licence"] for i, r in got.items()} == {i: n for i, (n, _) in want.items()}
+    assert got[100]["n_licences"] == 1 and got[101]["n_licences"] >= 2
