@@ -88,8 +88,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     in blocks, and every pair of blocks is a unit of its own.
 
     Null, empty and zero vectors and vectors with null or non-finite components link with nothing, vectors of different
-    length neither. Rows of one vec_id are rows of their own. A row without vec_id counts as a link of others but has a null
-    component_id if it has none, and is kept. An empty table gives an empty table.
+    length neither. Rows of one vec_id are rows of their own in one component. A row without vec_id counts as a link of others and
+    joins them, has the component_id that it reaches or null if it reaches none, and is kept. An empty table gives an empty table.
     """
     spark = vectors.sparkSession
     scratch, n_parts = Scratch(spark, "embedding-dedup"), parts(spark)
@@ -99,9 +99,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("e"))
     fine = F.col("e").isNotNull() & F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("e", lambda x: x != 0)
     rows = rows.withColumn("e", F.when(F.coalesce(fine, F.lit(False)), F.col("e")))
-    classes, seen = scratch.observed(rows.where("e is not null").groupBy("e").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m")), "classes", n=F.count(F.lit(1)))
+    classes = rows.where("e is not null").groupBy("e").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("m"))
+    # vec_id may be null or in several classes, so a class has an id of its own; it is written once and read from there
+    classes, seen = scratch.observed(classes.withColumn("id", F.monotonically_increasing_id()), "classes", n=F.count(F.lit(1)))
     tables, width = plan_tables(seen["n"], cosine)
-    nodes = classes.where("id is not null")
 
     def encode(batches):
         for batch in batches:
@@ -117,7 +118,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
                     names=["id", "m", "e", "dim", "code", "factor", "bands"],
                 )
 
-    coded = scratch.save(nodes.select("id", "m", "e").mapInArrow(encode, f"id long, m long, e array<{kind}>, dim int, code binary, factor double, bands array<long>"), "codes")
+    coded = scratch.save(classes.select("id", "m", "e").mapInArrow(encode, f"id long, m long, e array<{kind}>, dim int, code binary, factor double, bands array<long>"), "codes")
     placed = coded.select("id", "m", "e", "dim", "code", "factor", F.posexplode("bands").alias("t", "band"))
     shared = coded.select("dim", F.posexplode("bands").alias("t", "band")).groupBy("dim", "t", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     units = placed.join(shared, ["dim", "t", "band"]).withColumn("nb", F.ceil(F.col("n") / BUCKET).cast("int"))
@@ -188,8 +189,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
 
     found = scratch.save(units.repartition(n_parts, *keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long, n long"), "found")
     links = found.where("n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-    comp = scratch.save(components(scratch, found.where("b is not null").select("a", "b"), "linked"), "components")
-    by_class = classes.join(links, "id", "left").join(comp, "id", "left").select("e", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("c"))
+    edges = found.where("b is not null").select("a", "b")
+    # rows of one vec_id with different vectors hold their classes together
+    digest = F.struct(F.xxhash64("e"), F.xxhash64(F.lit(1), "e"))
+    several = rows.where("e is not null and vec_id is not null").groupBy("vec_id").agg(F.min(digest).alias("x"), F.max(digest).alias("y")).where("x <> y").select("vec_id")
+    if not several.isEmpty():
+        held = scratch.save(rows.join(several, "vec_id").join(classes.select("e", "id"), "e").select("vec_id", "id").distinct(), "held")
+        edges = edges.union(held.join(held.groupBy("vec_id").agg(F.min("id").alias("b")), "vec_id").where("id <> b").select("id", "b"))
+    comp = scratch.save(components(scratch, edges, "linked"), "components")
+    # written by itself: the join with it can be broadcast or split
+    names = scratch.save(comp.join(classes.select("id", "least"), "id").groupBy("component").agg(F.min("least").alias("c")), "names")
+    named = comp.join(names, "component").select("id", "c")
+    by_class = classes.join(links, "id", "left").join(named, "id", "left").select("e", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("c", "least").alias("c"))
     out = rows.join(by_class, "e", "left")
     component = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -66,3 +66,12 @@ def test_repeated_ids_empty_tables_and_clashing_names(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0], "x"), (1, [1.0, 2.0], "y"), (2, [2.0, 4.0], "z")], "vec_id long, embedding array<float>, e string")
     assert sorted(map(tuple, near_vectors(df).collect())) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
     assert near_vectors(df.where("false")).count() == 0
+
+
+def test_rows_without_an_id_link_others(spark):
+    at = lambda degrees, size=1.0: [size * math.cos(math.radians(degrees)), size * math.sin(math.radians(degrees))]
+    rows = [(5, at(0)), (None, at(20)), (3, at(40)), (None, at(120)), (None, at(130)), (8, at(200)), (8, at(260)), (7, at(210)), (9, at(250)), (9, at(250))]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = [(5, 1, 3, False), (None, 2, 3, True), (3, 1, 3, True), (None, 1, None, True), (None, 1, None, True)]
+    want += [(8, 1, 7, False), (8, 2, 7, False), (7, 1, 7, True), (9, 2, 7, False), (9, 2, 7, False)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
