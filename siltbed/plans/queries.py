@@ -336,3 +336,13 @@ def q39_hosts(spark, d):
 def q40_sizes(spark, d):
     e = table(spark, d, "events").select("event_type", "props")
     return e.groupBy(F.col("event_type").alias("source")).agg(F.sum(F.length("props")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH s AS (SELECT event_id % 3 AS src, coalesce(list_sort(list(DISTINCT event_type) FILTER (event_type IS NOT NULL)), []) AS types FROM events WHERE event_id IS NOT NULL GROUP BY 1)
+SELECT CAST(src AS INTEGER) AS src, len(types) AS n_types, types = (SELECT arg_min(types, src) FROM s) AS consistent FROM s""")
+def q41_source_verdicts(spark, d):
+    """For each source, whether it has the event types of the first one. q30 asks of user_id % 1, which never differs."""
+    e = table(spark, d, "events").where("event_id is not null").select((F.col("event_id") % 3).cast("int").alias("src"), "event_type")
+    s = e.groupBy("src").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
+    first = s.agg(F.min_by("types", "src").alias("wanted"))
+    return s.crossJoin(first).select("src", F.size("types").cast("long").alias("n_types"), (F.col("types") == F.col("wanted")).alias("consistent"))

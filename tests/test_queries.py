@@ -50,3 +50,13 @@ def test_without_the_llm_folders(tmp_path):
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", ".*"))
     code = "import __spark_entry__ as e; assert 'q08_merge_full' in e.queries() and not [q for q in e.queries() if q.startswith('op') or q == 'pipeline']"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": str(copy)})
+
+
+def test_a_source_that_differs_is_told(spark, tmp_path):
+    rows = [(0, "click"), (1, "click"), (2, "click"), (3, "view"), (4, "view"), (5, "click"), (6, None)]
+    spark.createDataFrame(rows, "event_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    want = [(0, 2, True), (1, 2, True), (2, 1, False)]
+    assert sorted(map(tuple, QUERIES["q41_source_verdicts"](spark, str(tmp_path)).collect())) == want
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(db.execute(SQL["q41_source_verdicts"]).fetchall()) == want
