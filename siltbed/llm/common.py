@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import os
 import tempfile
 import uuid
@@ -19,8 +20,11 @@ SPACE = b" \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a folder of our own only where none is set."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Where none is set, a local session takes a temporary folder of
+    its own; a cluster's executors would each write to their own disk, so there it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return found or "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "siltbed")
 
 
@@ -149,6 +153,9 @@ class Words:
 
     Attributes: ``doc`` (index of the text of each word), ``start`` and ``end`` (bytes in ``data``), ``hash``,
     ``first`` (index of the first word of each text, and the number of words as the last entry).
+
+    The hash is a polynomial modulo 2**64, for which different words with one hash can be written down. It serves as a feature or to
+    send work somewhere, never as proof that words are equal: that is what SureWords is for.
     """
 
     _base, _inverse = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
@@ -172,11 +179,14 @@ class Words:
         sizes = np.fromiter((len(x or b"") + 1 for x in texts), np.int64, len(texts))
         self.first = np.searchsorted(self.start, np.concatenate([[0], np.cumsum(sizes)]))
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        cls = type(self)
-        if cls._pow is None or len(cls._pow) < n + 1:
+        self._hash_words()
+
+    def _hash_words(self) -> None:
+        n = len(self.data)
+        if Words._pow is None or len(Words._pow) < n + 1:
             Words._pow, Words._inv = _powers(n + 1, self._base), _powers(n + 1, self._inverse)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(self._table[data] * Words._pow[:n], out=total[1:])
+        np.cumsum(self._table[self.data] * Words._pow[:n], out=total[1:])
         self.hash = mix((total[self.end] - total[self.start]) * Words._inv[self.start] + (self.end - self.start).astype(np.uint64) * _ODD)
 
     def text(self, i: int) -> bytes:
@@ -194,8 +204,70 @@ class Words:
         return out
 
 
+class SureWords(Words):
+    """Words with 128-bit hashes (``hash`` and ``more``) of BLAKE2b over their bytes, which nobody can make collide.
+
+    A worker remembers the hashes of words that it has seen, REMEMBERED of them at most.
+    """
+
+    REMEMBERED, LONGEST = 100_000, 64
+    _seen: dict[bytes, int] = {}
+    _known = np.zeros((0, 2), np.uint64)
+
+    def _hash_words(self) -> None:
+        words = self.data.tobytes().translate(self._gaps()).split()
+        cls = SureWords
+        if len(cls._seen) > self.REMEMBERED:
+            cls.forget()
+        seen = cls._seen
+        new = list(set(words).difference(seen))
+        if new:
+            made = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=16).digest() for w in new]), "<u8").reshape(-1, 2)
+            at = len(cls._known)
+            cls._known = np.concatenate([cls._known, made.astype(np.uint64)])
+            seen.update(zip(new, range(at, at + len(new)), strict=True))
+        which = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        self.hash, self.more = cls._known[which, 0], cls._known[which, 1]
+        if any(len(w) > self.LONGEST for w in new):  # long words are rare and would fill the memory
+            cls.forget()
+
+    @classmethod
+    def _gaps(cls) -> bytes:
+        return bytes(32 if gap else b for b, gap in enumerate(cls._is_space.tolist()))
+
+    @staticmethod
+    def forget() -> None:
+        SureWords._seen, SureWords._known = {}, np.zeros((0, 2), np.uint64)
+
+    @staticmethod
+    def _chain(hashes: np.ndarray, k: int, seed: int) -> np.ndarray:
+        n = len(hashes)
+        out = np.zeros(n, np.uint64)
+        if n >= k:
+            part = np.full(n - k + 1, np.uint64(seed))
+            for j in range(k):
+                part = mix(part * _ODD + hashes[j : n - k + 1 + j])
+            out[: n - k + 1] = part
+        return out
+
+    def grams(self, k: int) -> np.ndarray:
+        return self._chain(self.hash, k, 1)
+
+    def more_of_grams(self, k: int) -> np.ndarray:
+        """The other 64 bits of the hashes of grams."""
+        return self._chain(self.more, k, 2)
+
+
+#: Ids that a worker's union-find holds at once.
+HELD_IDS = 1 << 19
+
+
 def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) of a partition as stars around the smallest id of each of its components, by union-find."""
+    """Edges (a, b) of a partition as stars around the smallest id of each of its components, by union-find.
+
+    After HELD_IDS ids the stars so far are given out and a new union-find begins, so memory is bounded whatever the partition
+    holds; ids that both know stay connected by their edges.
+    """
     up: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -204,43 +276,63 @@ def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             up[x] = x = up[up[x]]
         return x
 
+    def stars() -> Iterator[pa.RecordBatch]:
+        ids = [x for x in up if root(x) != x]
+        for at in range(0, len(ids), 1 << 16):
+            part = ids[at : at + (1 << 16)]
+            yield pa.record_batch([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             x, y = root(a), root(b)
             if x != y:
                 up[max(x, y)] = min(x, y)
-    ids = [x for x in up if root(x) != x]
-    for at in range(0, len(ids), 1 << 16):
-        part = ids[at : at + (1 << 16)]
-        yield pa.record_batch([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], names=["a", "b"])
+        if len(up) > HELD_IDS:
+            yield from stars()
+            up.clear()
+    yield from stars()
+
+
+#: An id that more than one in HUB edges touch has its join broadcast: 2 * HUB ids at most are such.
+HUB = 1000
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """(id, component): the smallest id that each id of ``edges`` (a, b) reaches. Ids without an edge are not in the result.
 
-    Edges are dealt by one end and each partition's are contracted to stars. Then rounds of large-star and small-star steps (Kiveris et al.,
-    2014) until all that is left is stars, which one aggregation shows: every round is a few shuffles whose groups are summed
-    up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
-    round. Ends after a number of rounds that is logarithmic in practice.
+    Edges are contracted to stars where they lie, dealt by one end and contracted again. Then rounds of large-star and small-star steps
+    (Kiveris et al., 2014) until all that is left is stars, which one aggregation shows: every round is a few shuffles whose groups are
+    summed up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
+    round. Ends after a number of rounds that is logarithmic in practice. Edges at a hub, of which there are 2 * HUB at most, learn the hub's
+    least neighbour by a broadcast and stay where they are.
     """
     def dealt(df: DataFrame) -> DataFrame:
-        """Edges of one end meet in one partition and are contracted there, so every end has one centre."""
-        return df.repartition(parts(scratch.spark), "a").mapInArrow(contracted, "a long, b long")
+        """Edges of one end meet in one partition, at most one from each piece of contracted input, so every end has one centre."""
+        stars = df.mapInArrow(contracted, "a long, b long")
+        return stars.repartition(parts(scratch.spark), "a").mapInArrow(contracted, "a long, b long")
 
-    now, k = scratch.save(dealt(edges.select("a", "b").where("a <> b")), f"{name}-0"), 0
+    now, seen = scratch.observed(dealt(edges.select("a", "b").where("a <> b")), f"{name}-0", n=F.count(F.lit(1)))
+    k = 0
     while True:
+        ends = now.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(1).alias("end"), F.lit(0).alias("centre"))
+        both = ends.union(now.select("b", "a", F.lit(0), F.lit(1)))
+        low = scratch.save(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("end").alias("end"), F.max("centre").alias("centre")), f"{name}-low-{k}")
         # an id that is both an end and a centre, or the end of several edges, shows that more is to be joined
-        seen = now.select(F.col("a").alias("id"), F.lit(1).alias("end"), F.lit(0).alias("centre")).union(now.select(F.col("b").alias("id"), F.lit(0), F.lit(1)))
-        if seen.groupBy("id").agg(F.sum("end").alias("end"), F.max("centre").alias("centre")).where("end + centre > 1 and end > 0").isEmpty():
+        if low.where("end + centre > 1 and end > 0").isEmpty():
             break
-        low = now.union(now.select("b", "a")).groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        hubs = low.where(F.col("n") > F.lit(seen["n"] / HUB)).select("u", F.col("m").alias("hub"))
+        at = both.join(F.broadcast(hubs), "u", "left")
+        far = at.where("hub is null").join(low.select("u", "m"), "u")
+        columns = ["u", "v", "centre"]
+        met = at.where("hub is not null").select(*columns, F.col("hub").alias("m")).union(far.select(*columns, "m"))
         # large star: every larger neighbour of u goes to the least of u and its neighbours
-        large = now.select(F.col("b").alias("u"), F.col("a").alias("v")).join(low, "u").select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
+        large = met.where("centre = 1").select(F.col("v").alias("a"), F.least("u", "m").alias("b"))
         # small star: u and its smaller neighbours go to the least of them
-        small = now.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low, "u").where("v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
+        small = met.where("centre = 0 and v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
         own = low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))
         k += 1
-        now = scratch.save(dealt(large.union(own).union(small).where("a <> b")), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
+        now, seen = scratch.observed(dealt(large.union(own).union(small).where("a <> b")), f"{name}-{k}", n=F.count(F.lit(1)))
+        for old in (f"{name}-{k - 1}", f"{name}-low-{k - 1}"):
+            scratch.drop(old)
     roots = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
