@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, components, contracted, give_back, mix, parts, pieces, raw
+from .common import Scratch, SureWords, components, contracted, give_back, mix, parts, pieces, raw
 
-#: Slots of a signature (minima of so many hash functions) and the bits of each that travel for the distance test.
-SLOTS, SLOT_BITS = 48, 4
+#: Slots of a signature (minima of so many hash functions), the bits of each, and those of them that travel for the distance test.
+SLOTS, SLOT_BITS, SENT_BITS = 48, 16, 4
 #: Members of a bucket or shingles and members of a cluster that one task takes; larger ones are split in blocks.
 BUCKET, CLUSTER_DOCS, CLUSTER_SHINGLES, PIVOTS = 2048, 512, 2_000_000, 32
 
@@ -41,24 +41,51 @@ def chunks(bound: int) -> list[range]:
 
 def shingle_sets(texts: list[bytes | None], k: int = 5) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's k-word shingles; a shorter text is one shingle; no words, none."""
-    w = Words(texts, lower=True)
-    g = w.grams(k)
+    return [s for s, _ in wide_sets(texts, k)]
+
+
+def wide_sets(texts: list[bytes | None], k: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct 128-bit hashes of each text's shingles: the first 64 bits, sorted, and the others in the same order."""
+    w = SureWords(texts, lower=True)
+    g, more = w.grams(k), w.more_of_grams(k)
     out = []
     for a, b in zip(w.first[:-1], w.first[1:], strict=True):
         if b - a >= k:
-            out.append(np.unique(g[a : b - k + 1]))
+            kinds, at = np.unique(g[a : b - k + 1], return_index=True)
+            out.append((kinds, more[a : b - k + 1][at]))
         elif b > a:
-            h = np.uint64(b - a)
-            for x in w.hash[a:b]:
-                h = mix(np.array([h], np.uint64) + x)[0]
-            out.append(np.array([h], np.uint64))
+            d = np.frombuffer(hashlib.blake2b(np.stack([w.hash[a:b], w.more[a:b]]).tobytes(), digest_size=16).digest(), np.uint64)
+            out.append((d[:1], d[1:]))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append((np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
     return out
 
 
-def set_digest(s: np.ndarray) -> tuple[int, int]:
-    d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def exact_sets(texts: list[bytes | None], k: int = 5) -> list[np.ndarray]:
+    """Sorted distinct shingles of each text as numbers that are equal if and only if the shingles' bytes are; no hashes."""
+    known: dict = {}
+    flat, owner, alone = [], [], {}
+    for d, text in enumerate(texts):
+        words = (text or b"").lower().split()  # lower() touches A-Z only, split() parts at these blanks only
+        if 0 < len(words) < k:
+            alone[d] = known.setdefault((len(words), *words), -1 - len(known))
+            continue
+        new = set(words).difference(known)
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+        flat.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+        owner.append(d)
+    size = np.zeros(len(texts), np.int64)
+    size[owner] = [len(f) for f in flat]
+    ids = np.concatenate(flat) if flat else np.zeros(0, np.int64)
+    shingle, kinds = ids, len(known) + 1
+    for j in range(1, k):  # the first j words are a number already, one more joins; numbers stay below the count of words
+        shingle = np.unique(shingle[: max(0, len(ids) - j)] * np.int64(kinds) + ids[j:], return_inverse=True)[1].astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(size)])
+    return [np.array([alone[d]], np.int64) if d in alone else np.unique(shingle[first[d] : max(first[d], first[d + 1] - k + 1)]) for d in range(len(texts))]
+
+
+def set_digest(s: np.ndarray, more: np.ndarray) -> tuple[int, int]:
+    d = hashlib.blake2b(s.tobytes() + more.tobytes(), digest_size=16).digest()
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
@@ -72,8 +99,12 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def chunk_keys(sig: np.ndarray, bound: int) -> np.ndarray:
-    """For each signature a key for every chunk and allowed error: the chunk's slots without one of them."""
+    """For each signature a key for every chunk and allowed error: the chunk's slots, SLOT_BITS of each, without one of them.
+
+    Signatures of at most ``bound`` differing slots (of SLOT_BITS) share a key: the keys see no other bits.
+    """
     keys = []
+    sig = sig & np.uint64((1 << SLOT_BITS) - 1)
     for c, span in enumerate(chunks(bound)):
         for gone in span:
             h = np.full(len(sig), np.uint64((c << 8) + gone + 1))
@@ -85,13 +116,13 @@ def chunk_keys(sig: np.ndarray, bound: int) -> np.ndarray:
 
 
 def pack(sig: np.ndarray) -> np.ndarray:
-    """(n, 3) words of the low SLOT_BITS of each slot."""
+    """(n, 3) words of the low SENT_BITS of each slot."""
     low = (sig & np.uint64(15)).reshape(len(sig), 3, 16)
     return (low << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
 
 
 def slot_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Differing slots of packed signatures; never more than of the whole ones, so the bound loses nothing."""
+    """Differing slots of packed signatures; never more than of the SLOT_BITS wide ones, so the bound loses nothing."""
     d = x ^ y
     d |= d >> np.uint64(1)
     d |= d >> np.uint64(2)
@@ -195,15 +226,17 @@ def _confirmed(batches, percent: int, k: int):
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             g = t.slice(a, b - a)
             ids, want = g.column("id").to_numpy(), g.column("hi").to_numpy()
-            sets, keep = [], []
-            for batch in pieces(g.select(["text"]).to_batches()):
-                sets += shingle_sets(raw(batch.column("text")), k)
-            for x, (s, hi) in enumerate(zip(sets, want, strict=True)):
-                if len(s) and set_digest(s)[0] == hi:
-                    keep.append(x)
-            sets, ids = [sets[x] for x in keep], ids[keep]
-            if len(sets) < 2:
+            texts = raw(g.column("text").combine_chunks())
+            if len(np.unique(ids)) < len(ids):  # an id whose rows have different texts: only the class's own takes part
+                keep = []
+                for at in range(0, len(texts), 64):
+                    for x, s in enumerate(wide_sets(texts[at : at + 64], k), at):
+                        if len(s[0]) and set_digest(*s)[0] == want[x]:
+                            keep.append(x)
+                texts, ids = [texts[x] for x in keep], ids[keep]
+            if len(texts) < 2:
                 continue
+            sets = exact_sets(texts, k)
             size = np.array([len(s) for s in sets], np.float64)
             if len(sets) == 2:
                 both = float(len(np.intersect1d(*sets, assume_unique=True)))
@@ -223,11 +256,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     Documents are linked if 100 * |A & B| >= percent * |A | B| for their sets of distinct k-word shingles (A-Z lower-cased);
     component_id is the smallest doc_id reachable by links, itself included; kept is doc_id = component_id.
 
-    Exact copies of a set are one node. A node's signature is cut in chunks; for each chunk and each single slot that may
+    Exact copies of a set are one node: sets are told apart by 128 bits of BLAKE2b. A node's signature is cut in chunks; for each chunk and each single slot that may
     differ there is a key, so every pair within the distance bound shares a key (the bound is missed by a linked pair
     with probability 1e-5 at the threshold itself, and far less above it). In each bucket of nodes with one key the
     signature distance is tested; what passes joins candidate clusters (spanning forests only, never all pairs). Clusters
-    are confirmed on full sets, each text sent once. Buckets and clusters beyond a fixed size are cut in blocks and
+    are confirmed on full sets of the words themselves, without hashes, each text sent once. Buckets and clusters beyond a fixed size are cut in blocks and
     every pair of blocks is a unit of its own; for clusters first each block with a few pivots that all blocks share,
     then only the nodes that these left outside the largest component, against all blocks.
 
@@ -241,9 +274,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
 
     def sign(batches):
         for b in pieces(batches):
-            sets = shingle_sets(raw(b.column("text")), k)
+            wide = wide_sets(raw(b.column("text")), k)
+            sets = [s for s, _ in wide]
             full = [s for s in sets if len(s)]
-            digest = [set_digest(s) if len(s) else (None, None) for s in sets]
+            digest = [set_digest(*s) if len(s[0]) else (None, None) for s in wide]
             keys, packed = [None] * len(sets), [[None] * 3] * len(sets)
             if full:
                 sig = signatures(full)

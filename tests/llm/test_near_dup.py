@@ -6,7 +6,7 @@ import pytest
 from helpers import components, lower, made_up, words
 
 from siltbed.llm import near_dup as nd
-from siltbed.llm.near_dup import chunk_keys, distance_bound, near_duplicates, pack, shingle_sets, signatures, slot_distance, spanning_forest
+from siltbed.llm.near_dup import chunk_keys, distance_bound, exact_sets, near_duplicates, pack, shingle_sets, signatures, slot_distance, spanning_forest
 
 
 def sets_of(docs, k=5):
@@ -96,3 +96,23 @@ def test_rows_of_one_id_empty_tables_and_clashing_names(spark):
     df = spark.createDataFrame([(1, "a b", "x", 3), (2, "a  B", "x", 3)], "doc_id long, text string, key string, component_id int")
     assert sorted(map(tuple, near_duplicates(df).collect())) == [(1, 1, 1, True), (2, 1, 1, False)]
     assert near_duplicates(df.where("false")).count() == 0
+
+
+def colliding(n=1024):
+    """Two different words with one polynomial hash modulo 2**64, whatever its odd base: the Thue-Morse word and its complement."""
+    x = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    x, y = colliding()
+    docs = [(1, f"one two three four {x}"), (2, f"one two three four {y}"), (3, f"One two three  four {x}")]
+    assert run(spark, docs) == plain(docs) == [(1, 1, 1, True), (2, 1, 2, True), (3, 1, 1, False)]
+
+
+def test_exact_sets_are_those_of_the_words():
+    docs = made_up(50)
+    got, want = exact_sets([None if t is None else t.encode() for _, t in docs]), sets_of(docs)
+    assert [len(x) for x in got] == [len(x) for x in want]
+    assert all(len(np.intersect1d(got[i], got[j])) == len(want[i] & want[j]) for i in range(len(docs)) for j in range(i))
+    assert [len(x) for x in exact_sets([])] == []
