@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, _powers, mix, parts, pieces, raw
+from .common import Scratch, Words, mix, parts, pieces, raw
 from .near_dup import _grouped
 
 #: Words of the grams among which a window's anchor is chosen.
@@ -20,6 +21,8 @@ LAST = (1 << 63) - 1
 SAMPLE, HOT = 50, 200
 #: Different runs with one anchor beyond which each of their windows is a run of its own.
 WIDE = 64
+#: Bytes of text whose runs are one shard.
+SHARD = 8 << 20
 
 
 class SuffixAutomaton:
@@ -103,15 +106,16 @@ def _runs(doc: np.ndarray, s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
 
 
 def anchors(texts: list[bytes | None], size: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchored runs of windows: (key, text hash, index of the text, first window, number of windows).
+    """Anchored runs of windows: (key, two halves of the digest of the words, index of the text, first window, number of windows).
 
     A window's anchor is the gram with the least hash in it, so equal windows have equal anchors at equal places; the
     consecutive windows of one anchor form a run. Windows of hot anchors are runs of one, keyed by the window itself.
+    Hashes of grams only send runs somewhere; whether runs are equal is told by 128 bits of BLAKE2b over their bytes.
     """
     w = Words(texts)
     n = len(w.hash)
     if n < size:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     reach = size - GRAM + 1
     g = w.grams(GRAM)[: n - GRAM + 1]
     a = np.lib.stride_tricks.sliding_window_view(g, reach).argmin(axis=1) + np.arange(n - size + 1)
@@ -120,33 +124,36 @@ def anchors(texts: list[bytes | None], size: int, hot: np.ndarray) -> tuple[np.n
     is_hot = np.isin(g[a], hot) if len(hot) else np.zeros(len(p), bool)
     p, a, is_hot = p[inside], a[inside], is_hot[inside]
     if not len(p):
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (w.doc[p[1:]] != w.doc[p[:-1]])]) | is_hot
     at = np.flatnonzero(new)
     count = np.diff(np.concatenate([at, [len(p)]]))
     start = p[at]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(w.hash * _powers(n, Words._base), out=total[1:])
-    whole = mix((total[start + count + size - 1] - total[start]) * _powers(n, Words._inverse)[start] + count.astype(np.uint64))
-    key = np.where(is_hot[at], mix(whole + np.uint64(1)), g[a[at]])
-    return key.view(np.int64), whole.view(np.int64), w.doc[start], start - w.first[w.doc[start]], count
+    # all words parted by one blank each, and where each begins there
+    words = b" ".join(w.data.tobytes().split())
+    begin = np.concatenate([[0], np.cumsum(w.end - w.start + 1)])
+    told = [hashlib.blake2b(words[x : y - 1], digest_size=16).digest() for x, y in zip(begin[start].tolist(), begin[start + count + size - 1].tolist(), strict=True)]
+    whole = np.frombuffer(b"".join(told), "<i8").astype(np.int64).reshape(-1, 2)
+    key = np.where(is_hot[at], mix(whole[:, 0].view(np.uint64) + np.uint64(1)), g[a[at]])
+    return key.view(np.int64), whole[:, 0], whole[:, 1], w.doc[start], start - w.first[w.doc[start]], count
 
 
 def _pack(shards: np.ndarray, *cols: np.ndarray):
-    """(shard, blob) rows of columns dealt by shard: 32 bytes an item instead of a Spark row."""
+    """(shard, blob) rows of columns dealt by shard: 40 bytes an item instead of a Spark row."""
     o = np.argsort(shards, kind="stable")
     shards, cols = shards[o], [c[o].astype(t) for c, t in zip(cols, _TYPES, strict=True)]
     cut = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1], [True]])) if len(shards) else np.zeros(1, np.int64)
     return shards[cut[:-1]], [b"".join(c[a:b].tobytes() for c in cols) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-_TYPES = (np.int64, np.int64, np.int64, np.int32, np.int32)
+_TYPES = (np.int64, np.int64, np.int64, np.int64, np.int32, np.int32)
+_ITEM = sum(np.dtype(t).itemsize for t in _TYPES)
 
 
 def _unpack(blobs: list[bytes]) -> list[np.ndarray]:
     out = [[] for _ in _TYPES]
     for b in blobs:
-        n, at = len(b) // 32, 0
+        n, at = len(b) // _ITEM, 0
         for col, t in zip(out, _TYPES, strict=True):
             size = n * np.dtype(t).itemsize
             col.append(np.frombuffer(b, t, n, at))
@@ -166,35 +173,37 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
     """(id, s, n): of each document (id, text; ids differ) the runs of n windows from word s that start earlier elsewhere too."""
     spark = docs.sparkSession
     n_parts = parts(spark)
-    shards = 4 * n_parts
 
     def sample(batches):
         none = np.zeros(0, np.uint64)
         for b in pieces(batches):
-            key, _, doc, _, _ = anchors(raw(b.column("text")), size, none)
+            key, _, _, doc, _, _ = anchors(raw(b.column("text")), size, none)
             yield pa.record_batch([pa.array(np.unique(np.stack([key, doc]), axis=1)[0], pa.int64())], names=["key"])
 
+    total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     tried = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
     often = tried.mapInArrow(sample, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
     hot = np.sort(np.array([r["key"] for r in often.orderBy(F.col("n").desc(), "key").limit(10_000).collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(hot)
+    # a shard is what a task sorts or indexes at once: so many that each stands for SHARD bytes of text
+    shards = max(4 * n_parts, math.ceil(total / SHARD))
 
     def deal(batches):
         """The first run of each text in this piece goes to its key's shard; later ones are covered by it."""
         for b in pieces(batches, most=2 << 20):
-            key, whole, doc, s, n = anchors(raw(b.column("text")), size, shared.value)
+            key, whole, rest, doc, s, n = anchors(raw(b.column("text")), size, shared.value)
             if not len(key):
                 continue
             ids = b.column("id").to_numpy()[doc]
-            o = np.lexsort((s, ids, whole, key))
-            key, whole, ids, s, n = key[o], whole[o], ids[o], s[o], n[o]
-            first = np.concatenate([[True], (key[1:] != key[:-1]) | (whole[1:] != whole[:-1])])
-            where, blobs = _pack((key[first].view(np.uint64) % np.uint64(shards)).astype(np.int64), key[first], whole[first], ids[first], s[first], n[first])
+            o = np.lexsort((s, ids, rest, whole, key))
+            key, whole, rest, ids, s, n = (x[o] for x in (key, whole, rest, ids, s, n))
+            first = np.concatenate([[True], (key[1:] != key[:-1]) | (whole[1:] != whole[:-1]) | (rest[1:] != rest[:-1])])
+            where, blobs = _pack((key[first].view(np.uint64) % np.uint64(shards)).astype(np.int64), *(x[first] for x in (key, whole, rest, ids, s, n)))
             yield pa.record_batch([pa.array(where, pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
             d, s, n = _runs(ids[~first], s[~first], n[~first])
             if len(d):
                 zero = np.zeros(len(d), np.int64)
-                where, blobs = _pack(-1 - (d % shards), zero, zero, d, s, n)
+                where, blobs = _pack(-1 - (d % shards), zero, zero, zero, d, s, n)
                 yield pa.record_batch([pa.array(where, pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
     def settle(batches):
@@ -202,12 +211,12 @@ def covered_spans(docs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
         for t, cut in _grouped(batches, ["shard"]):
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 part = t.slice(a, b - a)
-                key, whole, ids, s, n = _unpack(part.column("blob").to_pylist())
+                key, whole, rest, ids, s, n = _unpack(part.column("blob").to_pylist())
                 if part.column("shard")[0].as_py() >= 0:
-                    o = np.lexsort((s, ids, whole, key))
-                    key, whole, ids, s, n = (x[o] for x in (key, whole, ids, s, n))
+                    o = np.lexsort((s, ids, rest, whole, key))
+                    key, whole, rest, ids, s, n = (x[o] for x in (key, whole, rest, ids, s, n))
                     new_key = np.concatenate([[True], key[1:] != key[:-1]])
-                    first = new_key | np.concatenate([[True], whole[1:] != whole[:-1]])
+                    first = new_key | np.concatenate([[True], (whole[1:] != whole[:-1]) | (rest[1:] != rest[:-1])])
                     kinds = np.add.reduceat(first, np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
                     open_ = np.flatnonzero(first & (kinds > 1))
                     wide = kinds > WIDE
@@ -303,8 +312,8 @@ def dedup_substrings(docs: DataFrame, size: int = 20) -> DataFrame:
 
     Here the reference is the corpus itself, which has no size bound, so its shards' automata aren't broadcast; the runs
     that may match are sent to the shard of their anchor instead. Equal runs of windows are settled by their first
-    occurrence before they move (a passage in a third of all documents is one run from each piece of input), and only
-    different runs with one anchor, which are the edges of passages, pass through an automaton. Where an anchor has very many
+    occurrence before they move (a passage in a third of all documents is one run from each piece of input; equal is what has
+    the same 128 bits of BLAKE2b over its bytes), and only different runs with one anchor, which are the edges of passages, pass through an automaton. Where an anchor has very many
     different runs, each window is a run keyed by itself (equal windows then meet in one automaton), as it is from the start
     for anchors that a sample finds in very many documents; this changes the dealing, not the result.
 

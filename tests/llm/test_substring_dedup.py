@@ -92,3 +92,18 @@ def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, key string, spans string")
     assert dedup_substrings(df.where("false")).count() == 0
     assert list(map(tuple, dedup_substrings(df).collect())) == [(1, "a b", 2, 0)]
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    x = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    y = x.translate(str.maketrans("ab", "ba"))  # the same polynomial hash modulo 2**64
+    lead = " ".join(f"w{i}" for i in range(19))
+    docs = [(1, f"{lead} {x}"), (2, f"{lead} {y}"), (3, f"{lead} {x}")]
+    got = run(spark, docs, 20)
+    assert got == plain(docs, 20) and [r[3] for r in got] == [0, 0, 20]
+
+
+def test_shards_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sd, "SHARD", 300)
+    docs = list(dict(made_up(60, 6)).items())
+    assert run(spark, docs, 20) == plain(docs, 20)
