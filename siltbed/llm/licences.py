@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bound_batches, pieces, raw
+from .common import SureWords, bound_batches, pieces, raw
 from .licence_texts import RESERVED, TEMPLATES
 
 
-class LicenceWords(Words):
+class LicenceWords(SureWords):
     """Words for licence texts: runs of letters, digits and bytes beyond ASCII; everything else parts words."""
 
     _is_space = np.array([not (chr(b).isalnum() and b < 128 or b >= 128) for b in range(256)])

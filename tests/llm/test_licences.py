@@ -62,3 +62,11 @@ def test_reserved_rights_and_missing_licences(spark, tmp_path):
     got = {r["doc_id"]: r for r in op5_license_scan(spark, str(tmp_path)).collect()}
     assert {i: r["licence"] for i, r in got.items()} == {i: n for i, (n, _) in want.items()}
     assert got[100]["n_licences"] == 1 and got[101]["n_licences"] >= 2
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    x = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    y = x.translate(str.maketrans("ab", "ba"))  # the same polynomial hash modulo 2**64
+    df = spark.createDataFrame([(1, f"grant {x}"), (2, f"grant {y}")], "doc_id long, text string")
+    got = {r["doc_id"]: [m["licence"] for m in r["licences"]] for r in scan_licences(df, [("L", f"grant {x}")]).collect()}
+    assert got == {1: ["L"], 2: []}
