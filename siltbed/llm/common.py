@@ -63,10 +63,10 @@ class Scratch:
         (out.partitionBy(*by) if by else out).parquet(where)
         return self.read(name, df)
 
-    def observed(self, df: DataFrame, name: str, **sums) -> tuple[DataFrame, dict]:
+    def observed(self, df: DataFrame, name: str, by: list[str] | None = None, **sums) -> tuple[DataFrame, dict]:
         """Like save, with aggregates over the written rows, without another pass."""
         seen = Observation()
-        out = self.save(df.observe(seen, *[expr.alias(key) for key, expr in sums.items()]), name)
+        out = self.save(df.observe(seen, *[expr.alias(key) for key, expr in sums.items()]), name, by)
         return out, seen.get
 
     def read(self, name: str, like: DataFrame) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, carried, pieces, raw, unpacked
+from .common import SPACE, Scratch, carried, parts, pieces, raw, unpacked
 
+#: Keys in more than one of HOT lines are broadcast; a key is in a document once, so HOT bounds them.
+HOT = 5000
 _KEYS = "batch int, hi long, lo long, id long"
 
 
@@ -44,71 +48,171 @@ def line_hashes(docs: DataFrame, batches: int) -> DataFrame:
 class LineRuns:
     """Levelled sorted runs of (hi, lo, n): how many documents have each key, as batches come in.
 
-    A batch is summed up, merge-anti-joined with the settled run (keys that have reached the threshold need no more
-    counting) and added to level 0 as a sorted run. When a level holds ``fanout`` runs they are merged into one run of
-    the next level, and keys that have reached the threshold move to the settled run, so each row is rewritten
-    log_fanout(batches) times.
-    """
+    A run is a Parquet table bucketed and sorted by its key, one file a bucket, so runs meet in merge joins that neither move nor
+    sort them. A batch is summed up, merge-anti-joined with all runs (keys that have reached the threshold in one need no
+    more counting) and added to level 0 as a run of its own. When a level holds ``fanout`` runs they are merged into one of the
+    next level, so each row is rewritten log_fanout(batches) times.
 
-    def __init__(self, scratch: Scratch, threshold: int, fanout: int = 2):
-        self.scratch, self.threshold, self.fanout = scratch, threshold, fanout
-        self.levels: list[list[DataFrame]] = []
-        self.settled: list[DataFrame] = []
-        self.made = 0
+    Runs go with the scratch folder, unless ``store`` names a folder of their own: then they and a manifest stay there, and the
+    next LineRuns at that folder, in this session or another, goes on from them. A manifest is written after its runs and before
+    those that it replaces are deleted, so a run that dies leaves the last state behind. One writer at a time.
+    """
 
-    def _write(self, df: DataFrame) -> DataFrame:
+    _MANIFEST = "buckets int, level int, run string, settled long"
+
+    def __init__(self, scratch: Scratch, threshold: int, fanout: int = 2, store: str | None = None):
+        self.scratch, self.spark, self.threshold, self.fanout = scratch, scratch.spark, threshold, fanout
+        self.root, self.lasting = store or f"{scratch.root}/runs", store is not None
+        self.buckets, self.made, self.commits = parts(self.spark), 0, 0
+        self.levels: list[list[str]] = []
+        #: rows of each run whose key has reached the threshold
+        self.reached: dict[str, int] = {}
+        self.tables: dict[str, str] = {}
+        if self.lasting:
+            self._open()
+
+    @property
+    def settled(self) -> list[str]:
+        return [r for level in self.levels for r in level if self.reached[r]]
+
+    def _open(self) -> None:
+        path, fs = self.scratch._at(self.root)
+        names = sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+        done = [n for n in names if n.startswith("manifest-") and fs.exists(self.scratch._at(f"{self.root}/{n}/_SUCCESS")[0])]
+        if not done:
+            return
+        self.commits = int(done[-1].rpartition("-")[2])
+        for r in self.spark.read.schema(self._MANIFEST).parquet(f"{self.root}/{done[-1]}").orderBy("level", "run").collect():
+            self.buckets = r["buckets"]
+            while len(self.levels) <= r["level"]:
+                self.levels.append([])
+            self.levels[r["level"]].append(r["run"])
+            self.reached[r["run"]] = r["settled"]
+            self.spark.sql(f"CREATE TABLE {self._table(r['run'])} (hi BIGINT, lo BIGINT, n BIGINT) USING parquet CLUSTERED BY (hi, lo) SORTED BY (hi, lo) INTO {self.buckets} BUCKETS LOCATION '{self.root}/{r['run']}'")
+
+    def _table(self, run: str) -> str:
+        return self.tables.setdefault(run, f"line_runs_{uuid.uuid4().hex}")
+
+    def read(self, run: str) -> DataFrame:
+        return self.spark.table(self._table(run))
+
+    def _write(self, df: DataFrame) -> str:
+        """df (hi, lo, n) as a run, in which its key is unique."""
+        run = f"run-{uuid.uuid4().hex[:12]}"
+        seen = Observation()
+        out = df.observe(seen, F.count_if(F.col("n") >= self.threshold).alias("reached"))
+        with self._in_order():
+            out.write.format("parquet").bucketBy(self.buckets, "hi", "lo").sortBy("hi", "lo").option("path", f"{self.root}/{run}").saveAsTable(self._table(run))
+        self.reached[run] = seen.get["reached"]
         self.made += 1
-        return self.scratch.save(df.sortWithinPartitions("hi", "lo"), f"run-{self.made}")
+        return run
+
+    @contextlib.contextmanager
+    def _in_order(self):
+        """Plans made here rely on the order in which a run's files are sorted."""
+        name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+        before = self.spark.conf.get(name)
+        self.spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)
+
+    def _drop(self, runs: list[str], data: bool = True) -> None:
+        for r in runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(r)}")
+            if data:
+                path, fs = self.scratch._at(f"{self.root}/{r}")
+                fs.delete(path, True)
+
+    def fresh(self, lines: DataFrame) -> DataFrame:
+        """(hi, lo, n) of a batch's lines, without keys that have reached the threshold in a run."""
+        batch = lines.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"))
+        if self.buckets != parts(self.spark):  # a store made with another number of partitions
+            batch = batch.repartition(self.buckets, "hi", "lo")
+        for r in [r for level in self.levels for r in level]:
+            batch = batch.join(self.read(r).where(F.col("n") >= self.threshold).hint("merge"), ["hi", "lo"], "left_anti")
+        return batch
+
+    def merged(self, a: str, b: str) -> DataFrame:
+        """Two runs in one, as a merge join of both."""
+        x, y = self.read(a).withColumnRenamed("n", "x"), self.read(b).withColumnRenamed("n", "y")
+        zero = F.lit(0).cast("long")
+        return x.join(y.hint("merge"), ["hi", "lo"], "full_outer").select("hi", "lo", (F.coalesce("x", zero) + F.coalesce("y", zero)).alias("n"))
+
+    def _fold(self, runs: list[str]) -> str:
+        """One run of several; what is made on the way is dropped, the given ones stay."""
+        made = runs[0]
+        for r in runs[1:]:
+            last, made = made, self._write(self.merged(made, r))
+            if last != runs[0]:
+                self._drop([last])
+        return made
 
     def add(self, lines: DataFrame) -> None:
-        batch = lines.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"))
-        for known in self.settled:
-            batch = batch.join(known, ["hi", "lo"], "left_anti")
-        self._put(0, self._write(batch))
-
-    def _put(self, level: int, run: DataFrame) -> None:
-        if len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) >= self.fanout:
+        """Count a batch of lines (hi, lo, ...), one row for each document and key."""
+        run, level, gone = self._write(self.fresh(lines)), 0, []
+        while True:
+            if len(self.levels) <= level:
+                self.levels.append([])
+            self.levels[level].append(run)
+            if len(self.levels[level]) < self.fanout:
+                break
             full, self.levels[level] = self.levels[level], []
-            merged = self._write(self._merge(full))
-            self.settled.append(merged.where(F.col("n") >= self.threshold).select("hi", "lo"))
-            self._put(level + 1, merged.where(F.col("n") < self.threshold))
-
-    def _merge(self, runs: list[DataFrame]) -> DataFrame:
-        all_runs = runs[0]
-        for r in runs[1:]:
-            all_runs = all_runs.unionByName(r)
-        return all_runs.groupBy("hi", "lo").agg(F.sum("n").alias("n"))
+            run = self._fold(full)
+            gone += full
+            level += 1
+        if self.lasting:
+            rows = [(self.buckets, i, r, self.reached[r]) for i, level in enumerate(self.levels) for r in level]
+            self.commits += 1
+            self.spark.createDataFrame(rows, self._MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifest-{self.commits:09d}")
+            path, fs = self.scratch._at(f"{self.root}/manifest-{self.commits - 1:09d}")
+            fs.delete(path, True)
+        self._drop(gone)
 
     def frequent(self) -> DataFrame:
-        """(hi, lo) of all keys in at least ``threshold`` documents so far; no key twice."""
-        left = [r for level in self.levels for r in level]
-        found = self._merge(left).where(F.col("n") >= self.threshold).select("hi", "lo") if left else None
-        for s in self.settled:
-            found = s if found is None else found.unionByName(s)
+        """(hi, lo, n) of all keys in at least ``threshold`` documents so far; no key twice. n stops growing at the threshold."""
+        left = [r for level in reversed(self.levels) for r in level]
+        if not left:
+            return self.spark.createDataFrame([], "hi long, lo long, n long")
+        one = self._fold(left)
+        found = self.scratch.save(self.read(one).where(F.col("n") >= self.threshold), f"frequent-{self.made}")
+        if one not in left:
+            self._drop([one])
         return found
 
+    def close(self) -> None:
+        """Forget the tables' names; lasting runs stay where they are."""
+        self._drop(list(self.tables), data=False)
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
+
+def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: int = 2, store: str | None = None) -> DataFrame:
     """All rows and columns of docs (doc_id, text, ...), text without the lines whose key is in ``min_docs`` documents or more.
 
     Adds n_lines (before) and n_dropped; columns of these names are replaced. Each row is a document. A null or empty
     text is one empty line and comes back as "". Empty keys are never dropped. Rows of one doc_id are told apart by
-    their texts; a null doc_id is an id like any other. An empty table gives an empty table.
+    their texts; a null doc_id is an id like any other. An empty table gives an empty table. Keys are told apart by 128 bits of BLAKE2b.
+
+    With ``store``, a folder that the cluster shares, the runs stay there and the documents of earlier calls count as well: a
+    line goes if it has been in ``min_docs`` documents of all calls so far. Documents that are given twice count twice.
 
-    The keys of frequent lines travel to their documents by doc_id, one list a document, so nothing is broadcast; a key
-    that a third of all documents hold is summed up before it moves and only spread by the join, which Spark can split.
+    The keys of frequent lines travel to their documents by doc_id, one list a document. A key that a third of all documents hold is
+    summed up before it moves, and its lines stay where they are: keys of more than one in HOT lines, of which there can't be
+    more than that, are broadcast; the others are joined.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
-    lines = scratch.save(line_hashes(docs, batches), "lines", by=["batch"])
-    runs = LineRuns(scratch, min_docs, fanout)
+    lines, seen = scratch.observed(line_hashes(docs, batches), "lines", by=["batch"], n=F.count(F.lit(1)))
+    runs = LineRuns(scratch, min_docs, fanout, store)
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b))
-    hot = runs.frequent()
-    drop = lines.join(hot, ["hi", "lo"]).select(F.col("id").alias("of"), F.struct("hi", "lo").alias("k")).groupBy("of").agg(F.collect_set("k").alias("gone"))
+    found = runs.frequent()
+    runs.close()
+    # counts stop at the threshold, after one batch at the earliest
+    often = F.col("n") > F.lit(seen["n"] / HOT)
+    at = lines.join(F.broadcast(found.where(often).select("hi", "lo", F.lit(True).alias("often"))), ["hi", "lo"], "left")
+    bad = at.where("often").select("hi", "lo", "id").union(at.where("often is null").join(found.where(~often), ["hi", "lo"]).select("hi", "lo", "id"))
+    drop = bad.select(F.col("id").alias("of"), F.struct("hi", "lo").alias("k")).groupBy("of").agg(F.collect_set("k").alias("gone"))
     rows = carried(docs, id=F.col("doc_id").cast("long"))
     joined = rows.join(drop.hint("shuffle_hash"), rows["id"].eqNullSafe(drop["of"]), "left")
 

@@ -47,3 +47,51 @@ def test_levels_compact_and_settle(spark):
     assert sum(len(x) for x in runs.levels) <= 4 and runs.settled
     assert runs.frequent().count() == 1
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_meet_in_merge_joins_that_neither_move_nor_sort_them(spark):
+    docs = spark.createDataFrame([(i, f"common\nonly {i}\nsome {i // 4}") for i in range(40)], "doc_id long, text string")
+    lines = line_hashes(docs, 4)
+    lines.cache()
+    runs = LineRuns(Scratch(spark, "test"), threshold=5, fanout=3)
+    for b in range(2):
+        runs.add(lines.where(f"batch = {b}"))
+    assert len(runs.levels[0]) == 2
+    with runs._in_order():
+        merged, fresh = plan_of(runs.merged(*runs.levels[0])), plan_of(runs.fresh(lines.where("batch = 2")))
+    assert "SortMergeJoin" in merged and "Exchange" not in merged and "Sort [" not in merged
+    # only the batch is moved and sorted, and once
+    assert fresh.count("SortMergeJoin") == 2 and fresh.count("Exchange hashpartitioning") == 1 and fresh.count("Sort [") == 1
+    assert sorted(map(tuple, runs.merged(*runs.levels[0]).groupBy().count().collect())) == [(len({tuple(r) for r in lines.where("batch < 2").select("hi", "lo").collect()}),)]
+
+
+def test_a_store_goes_on_where_it_was(spark, tmp_path):
+    store, made = f"file://{tmp_path}/store", list(dict(made_up(60)).items())
+    first, second = [made[:30], made[30:]]
+    df = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, dedup_lines(df(first), 3, batches=3, store=store).collect()), key=str) == plain(first, 3)
+    got = sorted(((r["doc_id"], r["text"]) for r in dedup_lines(df(second), 3, batches=2, store=store).collect()), key=str)
+    ids = [i for i, _ in second]
+    assert got == sorted(((i, t) for i, t, _, _ in plain(made, 3) if i in ids), key=str)
+    # a store made with other partitions is met by moving the batch to its buckets
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        third = dedup_lines(df([(900, "Shared line\nnew"), (901, "new"), (902, "new")]), 3, store=store).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r["doc_id"], r["text"]) for r in third) == [(900, ""), (901, ""), (902, "")]
+
+
+def test_hot_lines_stay_where_they_are(spark, monkeypatch):
+    from siltbed.llm import line_dedup as ld
+
+    docs = [*made_up(80), *((500 + i, f"hot line\nown {i}") for i in range(40))]
+    for hot in (1, 10**9):
+        monkeypatch.setattr(ld, "HOT", hot)
+        got = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), 10).collect()
+        assert sorted(map(tuple, got), key=str) == plain(docs, 10)
