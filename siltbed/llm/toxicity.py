@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import zlib
 from collections import Counter
@@ -64,12 +65,16 @@ class Lexicon:
         found = [(end - size + 1, end, x) for end, (size, x) in self._automaton.iter(folded)]
         if not found:
             return 0.0
-        safe = [(a, b) for a, b, x in found if x is None]
-        total, taken = 0.0, {}
+        # the furthest end of all phrases that begin at or before a place: a match up to there lies inside one of them
+        begins, ends = [], []
+        for a, b in sorted((a, b) for a, b, x in found if x is None):
+            begins.append(a)
+            ends.append(max(b, ends[-1]) if ends else b)
+        taken: dict[int, float] = {}
         for a, b, x in found:
-            if x is not None and not any(p <= a and b <= q for p, q in safe):
+            if x is not None and not ((k := bisect.bisect_right(begins, a)) and b <= ends[k - 1]):
                 taken[a] = max(taken.get(a, 0.0), x)  # of entries that begin together the strongest counts
-        return total + sum(taken.values())
+        return math.fsum(taken.values())
 
     def value(self, folded: str) -> tuple[float, int]:
         return self.hits(folded), max(1, folded.count(" ") - 1)
@@ -207,7 +212,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -
             out += [lex.score(t.decode("utf-8") if t else None) for t in raw(b.column("text"))]
         return pa.array(out, pa.float64())
 
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = [f"`{c}`" for c in docs.columns if c not in ("score", "predicted")]
     # not to be worked out twice for a filter on the result
     return docs.select(*kept, run.asNondeterministic()("text").alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 

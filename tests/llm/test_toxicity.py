@@ -1,4 +1,6 @@
+import math
 import random
+import time
 import zlib
 
 from siltbed.llm.toxicity import Lexicon, fold, learn, op9_toxicity, score_documents, train
@@ -66,3 +68,51 @@ def test_clashing_names_and_empty_tables(spark):
     r = score_documents(df, Lexicon({" idiot ": 3.0})).collect()[0]
     assert r["predicted"] == 1 and isinstance(r["score"], float)
     assert score_documents(df.where("false"), Lexicon({})).count() == 0
+
+
+def plain_hits(lex, folded):
+    """Every entry and phrase looked for at every place."""
+    at = lambda e: [i for i in range(len(folded) - len(e) + 1) if folded.startswith(e, i)]
+    safe = [(i, i + len(p)) for p in lex.exceptions for i in at(p)]
+    best = {}
+    for e, x in lex.weights.items():
+        for i in at(e):
+            if not any(a <= i and i + len(e) <= b for a, b in safe):
+                best[i] = max(best.get(i, 0.0), x)
+    return sum(best.values())
+
+
+def test_hits_against_a_plain_matcher():
+    rnd = random.Random(8)
+    for _ in range(300):
+        some = lambda n: "".join(rnd.choice("ab ") for _ in range(n))
+        weights = {some(rnd.randint(1, 4)): rnd.choice([0.5, 1.0, 2.0]) for _ in range(rnd.randint(0, 6))}
+        phrases = sorted({some(rnd.randint(2, 7)) for _ in range(rnd.randint(0, 5))} - weights.keys())
+        lex, text = Lexicon(weights, phrases), fold(some(rnd.randint(0, 60)))
+        assert abs(lex.hits(text) - plain_hits(lex, text)) < 1e-9
+
+
+def test_the_whole_query_against_a_plain_version(spark, tmp_path):
+    texts, labels = corpus(600, seed=3)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, given = (spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("documents", "labels"))
+    lex = train(docs, given)
+    for r in op9_toxicity(spark, str(tmp_path)).collect():
+        hits, n = plain_hits(lex, fold(texts[r["doc_id"]])), max(1, len(fold(texts[r["doc_id"]]).split()))
+        want = 0.0 if hits <= 0 else 1 / (1 + math.exp(-max(-30.0, min(30.0, lex.slope * hits / n**lex.power + lex.offset))))
+        assert abs(r["score"] - want) < 1e-9 and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_very_long_texts_of_exceptions_take_linear_time():
+    lex = Lexicon({" trash ": 2.0}, [" trash can "])
+    text = " " + "trash can " * 1_000_000
+    began = time.perf_counter()
+    assert lex.hits(text) == 0.0 and lex.hits(text + "trash ") == 2.0
+    assert time.perf_counter() - began < 20
+
+
+def test_dotted_names_are_carried(spark):
+    df = spark.createDataFrame([(1, "idiot", "x")], ["doc_id", "text", "a.b"])
+    r = score_documents(df, Lexicon({" idiot ": 3.0})).collect()[0]
+    assert r["a.b"] == "x" and r["predicted"] == 1
