@@ -27,12 +27,60 @@ LONG = 64
 REMEMBERED = 48 << 20
 
 
+def _fields(data: bytes):
+    """(number, value) of a protocol buffer message: integers, or bytes of what has a length."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        n = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            n |= (b & 0x7F) << shift
+            shift += 7
+            if b < 0x80:
+                return n
+
+    while at < len(data):
+        tag = varint()
+        if tag & 7 == 0:
+            yield tag >> 3, varint()
+        else:
+            size = {1: 8, 5: 4}[tag & 7] if tag & 7 != 2 else varint()
+            yield tag >> 3, data[at : at + size]
+            at += size
+
+
+def check_model(model: bytes) -> None:
+    """Raise ValueError for models that need what this codec lacks: other kinds than byte-pair ones, text that is changed before
+    it is cut (normalisers, blanks that are joined or dropped), no blank in front, or blanks at the end of words."""
+    # fixed numbers of the public model format: trainer and normaliser are fields 2 and 3 of the model
+    parts = dict(_fields(model))
+    trainer, rules = dict(_fields(parts.get(2, b""))), dict(_fields(parts.get(3, b"")))
+    wrong = []
+    if trainer.get(3, 1) != 2:
+        wrong.append("the model isn't a byte-pair one")
+    if trainer.get(24, 0):
+        wrong.append("blanks stand at the end of words")
+    if rules.get(2, b"") or rules.get(1, b"identity") not in (b"identity", b""):
+        wrong.append(f"it normalises text by {rules.get(1, b'rules').decode(errors='replace')}")
+    for field, wanted, what in ((3, 1, "it puts no blank in front"), (4, 0, "it drops repeated blanks"), (5, 1, "it leaves blanks as they are")):
+        if rules.get(field, 1) != wanted:
+            wrong.append(what)
+    if wrong:
+        raise ValueError("this model isn't supported: " + "; ".join(wrong))
+
+
 class Pieces:
-    """What a model file says: pieces with scores, byte pieces and the unknown id. A blank stands for the mark in pieces."""
+    """What a model file says: pieces with scores, byte pieces and the unknown id. A blank stands for the mark in pieces.
+
+    Models that this codec would encode in another way than the library are refused (check_model)."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
+        check_model(model)
         m = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = m.get_piece_size()
         self.text: list[bytes] = []
@@ -351,7 +399,7 @@ def _lists(tokens: pa.Array):
 def tokenize(docs: DataFrame, path: str = MODEL, columns: list[str] | None = None) -> DataFrame:
     """Columns of docs (all by default) with tokens (replaced if it exists), for all rows.
 
-    Whole texts; null and empty texts have no tokens. Rows come back a megabyte of text at a time, so that a task holds few
+    Whole texts; null and empty texts have no tokens. Names of docs may be any, ``_text`` and dotted ones included. Rows come back a megabyte of text at a time, so that a task holds few
     tokens however many rows Spark hands over at once; texts that aren't asked for stay behind.
     """
     spark = docs.sparkSession
@@ -360,17 +408,18 @@ def tokenize(docs: DataFrame, path: str = MODEL, columns: list[str] | None = Non
         model = spark.sparkContext.broadcast(f.read())
     kept = [c for c in (docs.columns if columns is None else columns) if c != "tokens"]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("tokens", T.ArrayType(T.IntegerType()))])
+    plain = [f"c{i}" for i in range(len(kept))]  # on the way to Python names have to be plain
 
     def run(batches):
         codec = _codec(model.value)
-        for b in pieces(batches, "_text"):
-            got = codec.encode(raw(b.column("_text")))
+        for b in pieces(batches, "t"):
+            got = codec.encode(raw(b.column("t")))
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32()))
-            yield pa.record_batch([*(b.column(c) for c in kept), tokens], names=[*kept, "tokens"])
+            yield pa.record_batch([*(b.column(c) for c in plain), tokens], names=[*kept, "tokens"])
         codec.forget()  # the worker lives on
 
-    return docs.select(*kept, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(kept, plain, strict=True)], F.col("text").alias("t")).mapInArrow(run, schema)
 
 
 def op7_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -75,3 +75,35 @@ def test_columns(spark, both):
     clash = df.select(F.lit(1).alias("tokens"), "text", "doc_id")
     assert sc.tokenize(clash).schema["tokens"].dataType.simpleString() == "array<int>"
     assert sc.tokenize(df.where("false")).count() == 0 and df.where("false").select(t.decode(F.lit(None).cast("array<int>"))).count() == 0
+
+
+def test_any_names_are_carried(spark, both):
+    df = spark.createDataFrame([("a b", 1, 2, 3)], ["text", "_text", "a.b", "text to encode"])
+    r = sc.tokenize(df).collect()[0]
+    assert (r["text"], r["_text"], r["a.b"], r["text to encode"], r["tokens"]) == ("a b", 1, 2, 3, both[1].encode("a b"))
+
+
+def field(number, value):
+    """A field of a protocol buffer message, an integer below 128 or bytes."""
+    if isinstance(value, int):
+        return bytes([*(x for x in ([number << 3] if number < 16 else [number << 3 & 0x7F | 0x80, number >> 4])), value])
+    size = len(value)
+    assert number < 16 and size < 1 << 14
+    return bytes([number << 3 | 2]) + (bytes([size]) if size < 128 else bytes([size & 0x7F | 0x80, size >> 7])) + value
+
+
+def test_models_of_other_kinds_are_refused(model):
+    sc.check_model(model)
+    fine = field(1, b"identity") + field(3, 1) + field(4, 0) + field(5, 1)
+    sc.check_model(field(2, field(3, 2)) + field(3, fine))
+    for trainer, rules, said in (
+        (field(3, 1), fine, "byte-pair"),
+        (b"", fine, "byte-pair"),
+        (field(3, 2) + field(24, 1), fine, "end of words"),
+        (field(3, 2), field(1, b"nmt_nfkc") + field(2, b"rules") + field(4, 0), "nmt_nfkc"),
+        (field(3, 2), field(1, b"identity"), "repeated blanks"),
+        (field(3, 2), fine + field(3, 0), "in front"),
+        (field(3, 2), fine + field(5, 0), "as they are"),
+    ):
+        with pytest.raises(ValueError, match=said):
+            sc.check_model(field(2, trainer) + field(3, rules))
