@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.operators import reconcile, scan_range, sink, ttl
-from siltbed.sources.sstable import describe, read_sstables
+from siltbed.sources.sstable.datasource import File, find_files, read_files
 
+#: Records of a target; of a table with clustering columns each row is a record of its own.
 RECORD = "key binary, bins map<string, binary>, ttl long"
+WIDE_RECORD = "key binary, clustering array<binary>, is_static boolean, bins map<string, binary>, ttl long"
+KEY, WIDE_KEY = ["key"], ["key", "clustering", "is_static"]
 
 
 @dataclass
@@ -27,9 +30,15 @@ class Run:
     set_name: str
     warnings: list[str]
 
+    @property
+    def key(self) -> list[str]:
+        """The columns that identify a record: the key, and for tables with clustering columns the row in it."""
+        return WIDE_KEY if "clustering" in self.records.columns else KEY
+
     def exported(self) -> DataFrame:
-        """(key, bins, ttl) of what a load writes."""
-        return self.records.where("status = 'exported'").select("key", "bins", "ttl")
+        """(key, bins, ttl) of what a load writes; with clustering (empty for static rows) and is_static after the key if the table has
+        clustering columns."""
+        return self.records.where("status = 'exported'").select(*self.key, "bins", "ttl")
 
     def cursor(self, last: tuple | None = None) -> DataFrame:
         """The key to resume from: the first beyond ``last`` (token, key), or the first of all; no row if nothing is left."""
@@ -49,17 +58,18 @@ def _order(df: DataFrame) -> list[str]:
 def records(cells: DataFrame, now: int, min_ttl: int = 1, eternal: int | None = None, expiry: str = "latest", target: DataFrame | None = None, drop_expired_cells: bool = False, wide: bool = False) -> DataFrame:
     """Every row of cells with columns, expiry, status, bins and ttl (null for never, or ``eternal``).
 
-    Rows that are deleted and empty come with the status skipped.
+    Rows that are deleted and empty come with the status skipped. With ``wide`` every row of a partition is a record, identified by key,
+    clustering (empty for static rows and partitions) and is_static, in the target as well.
     """
     ttl.check_min_ttl(min_ttl)
     at = now if drop_expired_cells else None
     if wide:
-        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True)
+        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True).withColumn("clustering", F.coalesce("clustering", F.array().cast("array<binary>")))
     else:
         rows = reconcile.reconcile(cells, ("token", "key") if "token" in cells.columns else ("key",), at, keep_deleted=True)
     out = rows.withColumn("expiry", ttl.expiry("columns", expiry))
     skipped = F.col("del_ts").isNotNull() & (F.size("columns") == 0)
-    ended = sink.with_status(out, target, ["key"], skipped, ttl.is_alive("expiry", now, min_ttl))
+    ended = sink.with_status(out, target, WIDE_KEY if wide else KEY, skipped, ttl.is_alive("expiry", now, min_ttl))
     left = F.coalesce(F.col("expiry") - F.lit(now), F.lit(eternal).cast("long"))
     return ended.withColumn("bins", sink.bins()).withColumn("ttl", left)
 
@@ -79,20 +89,22 @@ def load_table(
     now: int | None = None,
     checksum: bool = True,
     drop_expired_cells: bool = False,
+    ts_epoch: int = 0,
     target: DataFrame | None = None,
     on_target: Callable[[DataFrame], None] | None = None,
+    files: list[File] | None = None,
 ) -> Run:
     """Read the files of one table, reconcile all rows and, if on_target is given, hand it the records that are to be written.
 
-    now is in epoch seconds (by default the clock's); target holds what is there already (a key column), so that records
-    are created only. Several runs over the same files write nothing twice.
+    now is in epoch seconds (by default the clock's); target holds what is there already (the columns of Run.key), so that records
+    are created only. Several runs over the same files write nothing twice. Files are listed once, unless they are given.
     """
-    files = describe(spark, paths)
-    about = files.select("keyspace", "table", "clustering").first()
-    cells = read_sstables(spark, paths, keyspace=keyspace, table=table, checksum=checksum, start_key_hex=start_key.hex() if start_key is not None else None)
+    files = find_files(paths, keyspace, table, ts_epoch=ts_epoch) if files is None else files
+    about = files[0].table
+    cells = read_files(spark, files, checksum=checksum, start_key_hex=start_key.hex() if start_key is not None else None)
     now = int(time.time()) if now is None else now
-    space, set_, warnings = sink.target_names(about["keyspace"], about["table"], namespace, set_name)
-    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(about["clustering"]))
+    space, set_, warnings = sink.target_names(about.keyspace, about.table, namespace, set_name)
+    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(files[0].meta.header.clustering))
     run = Run(recs, sink.summary(recs), space, set_, warnings)
     if on_target is not None:
         on_target(run.exported())
@@ -133,13 +145,13 @@ def main(args: list[str] | None = None) -> int:
         for r in run.lines().toLocalIterator():
             print(r["value"])
         return 0
-    place = sink.TableTarget(spark, o.target, RECORD, ["key"])
+    files = find_files(o.paths)
+    wide = bool(files[0].meta.header.clustering)
+    place = sink.TableTarget(spark, o.target, WIDE_RECORD if wide else RECORD, WIDE_KEY if wide else KEY)
     there = place.read()
-    run = load_table(spark, o.paths, namespace=o.namespace, set_name=o.set_name, start_key=o.start_key, min_ttl=o.min_ttl, eternal=o.eternal, expiry=o.expiry, checksum=o.checksum, target=there)
+    run = load_table(spark, o.paths, files=files, namespace=o.namespace, set_name=o.set_name, start_key=o.start_key, min_ttl=o.min_ttl, eternal=o.eternal, expiry=o.expiry, checksum=o.checksum, target=there)
     for w in run.warnings:
         print(f"warning: {w}", file=sys.stderr)
-    # counted before the target changes under the plan
-    n = run.summary.first()
-    place.load(run.exported())
+    n = place.create(run.records)
     print(f"Exported {n['exported']} records, failed to write {n['failed']}, skipped {n['skipped']} deleted and {n['expired']} expired ones and {n['existing']} that were there.")
     return 0

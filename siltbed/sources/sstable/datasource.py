@@ -1,8 +1,13 @@
-"""The data source: files are found and described on the driver, data files are read in ranges by tasks."""
+"""The data source: files are found and described on the driver, once for a run; index and data are read in ranges by tasks."""
 
 from __future__ import annotations
 
+import base64
+import bisect
+import pickle
+import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -14,10 +19,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from siltbed import schema
 from siltbed.functions.tokens import murmur_tokens
 from siltbed.sources.sstable import layouts, metadata, naming
-from siltbed.sources.sstable.storage import Chunks, DataFile, file_system, read_all
+from siltbed.sources.sstable.storage import Chunks, DataFile, file_system, is_file, read_all, read_some
 from siltbed.sources.sstable.wire import Wire
 
-#: Uncompressed bytes of a data file that one task reads, roughly; rows of an Arrow batch.
+#: Stored bytes of a data file that one task reads, roughly; rows of an Arrow batch.
 SPLIT, BATCH = 64 << 20, 8192
 
 
@@ -70,27 +75,45 @@ def _open(table: naming.Table, start: int, checksum: bool) -> DataFile:
     return DataFile(table.stem + naming.DATA, _chunks(table.stem), start, checksum, adler=naming.JB <= v < naming.MA, over_compressed=v >= naming.JB)
 
 
-def find_files(paths: list[str], keyspace: str | None = None, table: str | None = None, strip_id: bool = False) -> list[File]:
+#: Files that the driver looks into at once.
+THREADS = 32
+
+
+def first_key(t: naming.Table) -> bytes | None:
+    """The key of a file's first partition: of the index's first entry, or of the data where there is no index."""
+    held = read_some(f"{t.stem}-Index.db", 0, ENTRY)
+    if held:
+        return Wire(held).short_bytes()
+    w = _open(t, 0, True)
+    try:
+        return w.short_bytes() if w.more() else None
+    finally:
+        w.close()
+
+
+def find_files(paths: list[str], keyspace: str | None = None, table: str | None = None, strip_id: bool = False, ts_epoch: int = 0) -> list[File]:
     """All files of one table, in the order of their first (token, key). Files of several tables or with different
-    partitioners are an error, as are names and Statistics files that can't be read."""
-    found = []
-    for path, size in data_files(paths):
-        t = naming.parse(path, strip_id)
-        if keyspace not in (None, t.keyspace) or table not in (None, t.table):
-            continue
+    partitioners are an error, as are names and Statistics files that can't be read.
+
+    Of each file the Statistics and the head of the index are read, of THREADS files at once.
+    """
+    named = [(naming.parse(path, strip_id), size) for path, size in data_files(paths)]
+    named = [(t, size) for t, size in named if keyspace in (None, t.keyspace) and table in (None, t.table)]
+
+    def look(at: tuple[naming.Table, int]) -> File:
+        t, size = at
         stats = read_all(f"{t.stem}-Statistics.db")
         if stats is None and t.version >= naming.HC:
             raise FileNotFoundError(f"{t.stem}-Statistics.db")
-        found.append(File(t, metadata.parse(stats or b"", t.version), size))
-    if not found:
+        return File(t, metadata.parse(stats or b"", t.version).since(ts_epoch), size, first_key(t) if size else None)
+
+    if not named:
         raise FileNotFoundError(f"no data files in {paths}")
+    with ThreadPoolExecutor(THREADS) as pool:
+        found = list(pool.map(look, named))
     for what, kinds in (("tables", {(f.table.keyspace, f.table.table) for f in found}), ("partitioners", {f.meta.partitioner for f in found})):
         if len(kinds) > 1:
             raise ValueError(f"files of several {what}: {sorted(kinds)}")
-    for f in found:
-        w = _open(f.table, 0, True)
-        f.first = w.short_bytes() if w.more() else None
-        w.close()
     return sorted(found, key=lambda f: (f.first is None, _place(f.meta.partitioner, f.first or b""), f.table.stem))
 
 
@@ -118,73 +141,85 @@ def summary_entries(data: bytes, version: int) -> list[tuple[bytes, int]]:
     return [(body[a : b - 8], int.from_bytes(body[b - 8 : b], "little")) for a, b in zip(at, at[1:], strict=False)]
 
 
-def split_points(f: File, start: bytes | None, split: int) -> list[int]:
-    """Data positions of partitions at which ranges begin, the first one at or before the start key.
+#: Bytes that hold the beginning of any index entry: a key, its length and a position.
+ENTRY = (1 << 16) + 16
+
+
+def sample_points(f: File, start: bytes | None, split: int) -> list[int | None]:
+    """Places in the index of the entries at which ranges of about ``split`` stored bytes begin; None for the file's start.
 
-    The summary holds a sample of the index, so a few index entries are read for each range, never the whole index. Without
-    a summary or an index the file is one range.
+    The summary holds entries at even distances, so every so many of them begin a range; the index itself isn't read. With a
+    start key the first place is of the last sampled entry at or before it, found by binary search. Without a summary or an index
+    the file is one range.
     """
     summary = read_all(f"{f.table.stem}-Summary.db")
-    fs, index = file_system(f"{f.table.stem}-Index.db")
-    if fs.get_file_info(index).type != pafs.FileType.File:
-        return [0]
-    sampled = summary_entries(summary, f.table.version) if summary is not None else []
+    if summary is None or not is_file(f"{f.table.stem}-Index.db"):
+        return [None]
+    sampled = summary_entries(summary, f.table.version)
+    first = 0
     if start is not None:
         goal = _place(f.meta.partitioner, start)
-        below = [i for i, (key, _) in enumerate(sampled) if _place(f.meta.partitioner, key) <= goal]
-        sampled = sampled[below[-1] :] if below else sampled
-    if not sampled:
-        return [0]
-    points: list[int] = []
-    with fs.open_input_file(index) as file:
-        total = file.size()
-        step = 1
-        for i in range(0, len(sampled), step):
-            file.seek(sampled[i][1])
-            held = file.read(min(total - sampled[i][1], 1 << 17))
-            w = Wire(held)
-            w.short_bytes()
-            at = w.vint() if f.table.version >= naming.MA else w.i64()
-            if not points or at - points[-1] >= split:
-                points.append(at)
-    return points if start is not None else sorted({0, *points})
+        first = max(0, bisect.bisect_right(sampled, goal, key=lambda e: _place(f.meta.partitioner, e[0])) - 1)
+    step = max(1, round(len(sampled) * split / max(1, f.length)))
+    points: list[int | None] = [at for _, at in sampled[first::step]]
+    if start is None or not points:
+        points[:1] = [None]
+    return points
+
+
+def data_position(f: File, place: int | None) -> int:
+    """Where the partition of the index entry at ``place`` begins in the data; reads that entry only."""
+    if place is None:
+        return 0
+    w = Wire(read_some(f"{f.table.stem}-Index.db", place, ENTRY))
+    w.short_bytes()
+    return w.vint() if f.table.version >= naming.MA else w.i64()
+
+
+def split_points(f: File, start: bytes | None, split: int) -> list[int]:
+    """sample_points as positions in the data."""
+    return [data_position(f, place) for place in sample_points(f, start, split)]
 
 
 @dataclass
 class Range(InputPartition):
+    """A range of a file, from one place in the index to another (see sample_points); stop is "end" for the file's."""
+
     file: File
     src: int
-    start: int
-    stop: int | None
+    start: int | None
+    stop: int | str
 
     def __init__(self, file, src, start, stop):
         super().__init__((file, src, start, stop))
         self.file, self.src, self.start, self.stop = file, src, start, stop
 
 
+def pack_files(files: list[File]) -> str:
+    """Files as an option's text, so that one listing serves a whole run."""
+    return base64.b64encode(zlib.compress(pickle.dumps(files))).decode()
+
+
 class SSTableReader(DataSourceReader):
     def __init__(self, options: dict, schema_: T.StructType):
-        self.schema = schema_
-        self.paths = [p for p in options.get("path", "").split(",") if p]
-        self.keyspace, self.table = options.get("keyspace"), options.get("table")
+        self.schema, self.options = schema_, options
         self.checksum = options.get("checksum", "true").lower() != "false"
-        self.strip_id = options.get("strip_id", "false").lower() == "true"
+        self.values = options.get("values", "true").lower() != "false"
         self.split = int(options.get("split_bytes", SPLIT))
         self.start = bytes.fromhex(options["start_key_hex"]) if "start_key_hex" in options else options["start_key"].encode() if "start_key" in options else None
-
         self.only = bytes.fromhex(options["key_hex"]) if "key_hex" in options else options["key"].encode() if "key" in options else None
 
     def partitions(self):
         out = []
-        for src, f in enumerate(find_files(self.paths, self.keyspace, self.table, self.strip_id)):
+        for src, f in enumerate(_files(self.options)):
             if f.first is None:
                 continue
             if self.only is not None:
-                out.append(Range(f, src, split_points(f, self.only, self.split)[0], None))
+                out.append(Range(f, src, sample_points(f, self.only, self.split)[0], "end"))
                 continue
-            points = split_points(f, self.start, self.split)
-            out += [Range(f, src, a, b) for a, b in zip(points, [*points[1:], None], strict=True)]
-        return out or [Range(None, 0, 0, 0)]
+            points = sample_points(f, self.start, self.split)
+            out += [Range(f, src, a, b) for a, b in zip(points, [*points[1:], "end"], strict=True)]
+        return out or [Range(None, 0, None, "end")]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if partition.file is None:
@@ -193,12 +228,13 @@ class SSTableReader(DataSourceReader):
         if self.start is not None:
             goal = _place(f.meta.partitioner, self.start)
         last = _place(f.meta.partitioner, self.only) if self.only is not None else None
+        stop = data_position(f, partition.stop) if partition.stop != "end" else None
         rows: list[tuple] = []
         # positions are places in the file, so they don't depend on how it was split
-        w = _open(f.table, partition.start, self.checksum)
+        w = _open(f.table, data_position(f, partition.start), self.checksum)
         try:
-            while w.more() and (partition.stop is None or w.at < partition.stop):
-                key, cells = layouts.new_partition(w, f.meta.header) if f.table.version >= naming.MA else layouts.old_partition(w, f.table.version)
+            while w.more() and (stop is None or w.at < stop):
+                key, cells = layouts.new_partition(w, f.meta.header, self.values) if f.table.version >= naming.MA else layouts.old_partition(w, f.table.version, self.values)
                 if last is not None and _place(f.meta.partitioner, key) > last:
                     break
                 keep = (goal is None or _place(f.meta.partitioner, key) >= goal) and self.only in (None, key)
@@ -228,12 +264,37 @@ class SSTableReader(DataSourceReader):
         return pa.record_batch(columns, names=self.schema.fieldNames())
 
 
+class PushingReader(SSTableReader):
+    """The reader where spark.sql.python.filterPushdown.enabled is true; elsewhere Spark refuses readers that take filters."""
+
+    def pushFilters(self, filters):
+        """key = x becomes a lookup by index; Spark still tests it."""
+        for f in filters:
+            if type(f).__name__ == "EqualTo" and f.attribute == ("key",) and isinstance(f.value, bytes | bytearray) and self.only is None:
+                self.only = bytes(f.value)
+        return filters
+
+
+def _files(options: dict) -> list[File]:
+    if "files" in options:
+        return pickle.loads(zlib.decompress(base64.b64decode(options["files"])))
+    paths = [p for p in options.get("path", "").split(",") if p]
+    return find_files(paths, options.get("keyspace"), options.get("table"), options.get("strip_id", "false").lower() == "true", int(options.get("ts_epoch", 0)))
+
+
+def _schema(files: list[File]) -> T.StructType:
+    return schema.cells(T.LongType() if files[0].meta.partitioner == "Murmur3Partitioner" else T.BinaryType())
+
+
 class SSTableDataSource(DataSource):
     """``spark.read.format("sstable").load(folder)``: cells in long form (see siltbed.schema.cells).
 
     Options: path (folders parted by commas), keyspace and table (which files to take), checksum (true), start_key or
-    start_key_hex (only partitions from that key on, in the partitioner's order), key or key_hex (only that one), split_bytes (uncompressed bytes for a
-    task), strip_id (take the id off folder names). The token is a bigint for the murmur partitioner, binary otherwise.
+    start_key_hex (only partitions from that key on, in the partitioner's order), pushdown (true: filters on the key become lookups, which
+    spark.sql.python.filterPushdown.enabled has to allow), key or key_hex (only that one), split_bytes (stored bytes for a
+    task, about), strip_id (take the id off folder names), values (false: they are skipped and come as nulls), ts_epoch (seconds
+    that the bases of times in newer files count from, 0 by default; some writers count from 1442880000), files (a listing
+    made before, see pack_files). The token is a bigint for the murmur partitioner, binary otherwise.
     """
 
     @classmethod
@@ -241,31 +302,41 @@ class SSTableDataSource(DataSource):
         return "sstable"
 
     def schema(self) -> T.StructType:
-        paths = [p for p in self.options.get("path", "").split(",") if p]
-        files = find_files(paths, self.options.get("keyspace"), self.options.get("table"), self.options.get("strip_id", "false").lower() == "true")
-        return schema.cells(T.LongType() if files[0].meta.partitioner == "Murmur3Partitioner" else T.BinaryType())
+        return _schema(_files(self.options))
 
     def reader(self, schema: T.StructType) -> SSTableReader:
-        return SSTableReader(self.options, schema)
+        return (PushingReader if self.options.get("pushdown", "false").lower() == "true" else SSTableReader)(self.options, schema)
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(SSTableDataSource)
 
 
-def read_sstables(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+def read_files(spark: SparkSession, files: list[File], **options) -> DataFrame:
+    """Cells of files that were found before: no file is listed or opened again before the tasks run."""
     register(spark)
-    r = spark.read.format("sstable")
+    r = spark.read.format("sstable").schema(_schema(files)).option("files", pack_files(files))
+    r = r.option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     for k, v in options.items():
         if v is not None:
             r = r.option(k, str(v).lower() if isinstance(v, bool) else v)
-    return r.load(",".join(paths))
+    return r.load()
 
 
-def describe(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_sstables(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """Cells of the files of one table, with the options of SSTableDataSource."""
+    given = {k: options.pop(k) for k in ("keyspace", "table", "strip_id", "ts_epoch") if options.get(k) is not None}
+    return read_files(spark, find_files(paths, **given), **options)
+
+
+def describe_files(spark: SparkSession, files: list[File]) -> DataFrame:
     """One row for each file: path, version, keyspace, table, partitioner, header and length."""
     rows = [
         (f.table.stem + naming.DATA, f.table.version, f.table.keyspace, f.table.table, f.meta.partitioner, f.meta.header.min_timestamp, f.meta.header.min_ttl, list(f.meta.header.clustering), list(f.meta.header.static), list(f.meta.header.regular), f.length)
-        for f in find_files(paths)
+        for f in files
     ]
     return spark.createDataFrame(rows, schema.FILES)
+
+
+def describe(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return describe_files(spark, find_files(paths))

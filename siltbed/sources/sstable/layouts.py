@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from siltbed.sources.sstable import naming
-from siltbed.sources.sstable.metadata import FIXED, Header
+from siltbed.sources.sstable.metadata import FIXED, Header, element_type
 from siltbed.sources.sstable.wire import Wire
 
 #: A row's deletion time if it is not deleted, in older files.
 ACTIVE = -(1 << 63)
+#: Delta-coded times from here on have wrapped around: ACTIVE, in columns that aren't deleted.
+NEVER = 1 << 62
 #: Flags of a cell in older files.
 OLD_DELETED, OLD_EXPIRING, OLD_COUNTER, OLD_RANGE = 0x01, 0x02, 0x04, 0x10
 #: Flags of a row in newer files, and of its extension byte.
@@ -43,8 +45,10 @@ def _is_deleted(ts: int) -> bool:
     return ts != ACTIVE
 
 
-def old_partition(w: Wire, version: int) -> tuple[bytes, Iterator[Cell]]:
-    """Key and cells of the partition at hand. A row without a deletion and cells gives an unnamed cell, so it isn't lost."""
+def old_partition(w: Wire, version: int, values: bool = True) -> tuple[bytes, Iterator[Cell]]:
+    """Key and cells of the partition at hand. A row without a deletion and cells gives an unnamed cell, so it isn't lost.
+
+    Without ``values`` they are skipped, and come as nulls."""
     key = w.short_bytes()
     w.skip((4 if version < naming.D else 8 if version < naming.JA else 0) + 4)  # row size, local deletion
     deletion = w.i64()
@@ -74,7 +78,7 @@ def old_partition(w: Wire, version: int) -> tuple[bytes, Iterator[Cell]]:
             elif flags & OLD_EXPIRING:
                 ttl, expires = w.i32() & 0xFFFFFFFF, w.i32() & 0xFFFFFFFF
             ts = w.i64()
-            yield None, 0, False, "cell", name, None, ts, bool(flags & OLD_DELETED), ttl, expires, w.long_bytes()
+            yield None, 0, False, "cell", name, None, ts, bool(flags & OLD_DELETED), ttl, expires, w.long_bytes() if values else w.skip(w.i32())
         if not seen:
             yield None, 0, False, "cell", "", None, 0, False, None, None, None
 
@@ -96,8 +100,14 @@ def present(w: Wire, n: int) -> list[bool]:
     return out
 
 
-def _value(w: Wire, kind: str) -> bytes:
-    return w.take(FIXED[kind]) if kind in FIXED else w.vint_bytes()
+def _value(w: Wire, kind: str, wanted: bool = True) -> bytes | None:
+    n = FIXED[kind] if kind in FIXED else w.vint()
+    return w.take(n) if wanted else w.skip(n)
+
+
+def element_name(column: str, path: bytes) -> str:
+    """The name of an element's cell; all of a column's lie between column + ":" and column + ":g"."""
+    return f"{column}:{path.hex()}"
 
 
 def _clustering(w: Wire, kinds: tuple[str, ...]) -> list[bytes | None]:
@@ -111,8 +121,11 @@ def _clustering(w: Wire, kinds: tuple[str, ...]) -> list[bytes | None]:
     return out
 
 
-def new_partition(w: Wire, header: Header) -> tuple[bytes, Iterator[Cell]]:
+def new_partition(w: Wire, header: Header, values: bool = True) -> tuple[bytes, Iterator[Cell]]:
+    """Like old_partition. A column with a cell for each element gives cells named by element_name, and a range tombstone
+    over all of them where the column was deleted or overwritten."""
     key = w.short_bytes()
+    elements = {name: element_type(kind) for name, kind in (*header.static, *header.regular)}
     w.skip(4)  # local deletion
     partition = w.i64()
 
@@ -128,8 +141,6 @@ def new_partition(w: Wire, header: Header) -> tuple[bytes, Iterator[Cell]]:
             static = bool(flags & EXTENSION and w.u8() & STATIC)
             if flags & MARKER:
                 raise NotImplementedError("range tombstones over clustering columns aren't supported")
-            if flags & COMPLEX_DELETION:
-                raise NotImplementedError("columns of several cells aren't supported")
             cluster = None if static else _clustering(w, header.clustering)
             w.vint()  # row size
             w.vint()  # size of the row before
@@ -148,9 +159,7 @@ def new_partition(w: Wire, header: Header) -> tuple[bytes, Iterator[Cell]]:
                 yield cluster, row, static, "cell", "", None, row_ts, False, row_ttl, row_expires, None
             columns = header.static if static else header.regular
             has = [True] * len(columns) if flags & ALL_COLUMNS else present(w, len(columns))
-            for (name, kind), there in zip(columns, has, strict=True):
-                if not there:
-                    continue
+            def cell(name: str, kind: str, inside: bool) -> Cell:
                 f = w.u8()
                 ts = row_ts if f & ROW_TIMESTAMP else w.vint() + header.min_timestamp
                 ttl = expires = None
@@ -161,8 +170,24 @@ def new_partition(w: Wire, header: Header) -> tuple[bytes, Iterator[Cell]]:
                         local = w.vint() + header.min_local_deletion
                     if f & CELL_EXPIRING:
                         expires, ttl = local, w.vint() + header.min_ttl
-                value = b"" if f & CELL_EMPTY else _value(w, kind)
-                yield cluster, row, static, "cell", name, None, ts, bool(f & CELL_DELETED), ttl, expires, value
+                if inside:
+                    name = element_name(name, w.vint_bytes())
+                value = (b"" if values else None) if f & CELL_EMPTY else _value(w, kind, values)
+                return cluster, row, static, "cell", name, None, ts, bool(f & CELL_DELETED), ttl, expires, value
+
+            for (name, kind), there in zip(columns, has, strict=True):
+                if not there:
+                    continue
+                if elements[name] is None:
+                    yield cell(name, kind, False)
+                    continue
+                if flags & COMPLEX_DELETION:
+                    ts = w.vint() + header.min_timestamp
+                    w.vint()  # local deletion
+                    if ts < NEVER:
+                        yield cluster, row, static, "range_tombstone", f"{name}:", f"{name}:g", ts, False, None, None, None
+                for _ in range(w.vint()):
+                    yield cell(name, elements[name], True)
             seen = True
             row += 1
         if not seen:

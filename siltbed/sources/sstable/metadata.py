@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, field, replace
 
 from siltbed.functions.tokens import DEFAULT_PARTITIONER, PARTITIONERS
 from siltbed.sources.sstable import naming
@@ -26,6 +27,34 @@ FIXED = {
 VALIDATION, HEADER = 0, 3
 
 
+def short_type(text: str) -> str:
+    """A type's class name without packages; a type in reverse order is stored as the type itself."""
+    short = re.sub(r"[\w.]*\.(\w+)", r"\1", text.strip())
+    inner = re.fullmatch(r"ReversedType\((.*)\)", short)
+    return inner[1] if inner else short
+
+
+def parameters(kind: str) -> list[str]:
+    """The types in the outer parentheses of a type."""
+    inside, depth, out = kind.partition("(")[2][:-1], 0, [""]
+    for c in inside:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x for x in out if x]
+
+
+def element_type(kind: str) -> str | None:
+    """The type of the values of a column that has one cell for each element (lists, sets and maps that aren't frozen); None
+    for columns of one cell."""
+    outer = kind.partition("(")[0]
+    if outer == "UserType":
+        raise NotImplementedError("columns of user types are supported only if frozen")
+    return {"ListType": lambda: parameters(kind)[0], "SetType": lambda: "EmptyType", "MapType": lambda: parameters(kind)[1]}.get(outer, lambda: None)()
+
+
 @dataclass(frozen=True)
 class Header:
     """The serialization header: bases of delta-coded times, types of the key, the clustering columns and all columns."""
@@ -41,7 +70,7 @@ class Header:
     @classmethod
     def parse(cls, w: Wire) -> Header:
         def kind() -> str:
-            return w.vint_bytes().decode().rpartition(".")[2]
+            return short_type(w.vint_bytes().decode())
 
         def columns() -> tuple:
             return tuple((w.vint_bytes().decode("utf-8"), kind()) for _ in range(w.vint()))
@@ -54,6 +83,11 @@ class Metadata:
     partitioner: str
     header: Header = field(default_factory=Header)
 
+    def since(self, epoch: int) -> Metadata:
+        """The same with bases of times that count from ``epoch`` (in seconds)."""
+        h = self.header
+        return replace(self, header=replace(h, min_timestamp=h.min_timestamp + epoch * 1_000_000, min_local_deletion=h.min_local_deletion + epoch))
+
 
 def _skip_histogram(w: Wire) -> None:
     w.skip(16 * w.i32())

@@ -26,6 +26,21 @@ def read_all(path: str) -> bytes | None:
         return f.read()
 
 
+def is_file(path: str) -> bool:
+    fs, where = file_system(path)
+    return fs.get_file_info(where).type == pafs.FileType.File
+
+
+def read_some(path: str, at: int, most: int) -> bytes | None:
+    """Up to ``most`` bytes of a file from a place, None if there is no file."""
+    if not is_file(path):
+        return None
+    fs, where = file_system(path)
+    with fs.open_input_file(where) as f:
+        f.seek(at)
+        return f.read(most)
+
+
 @dataclass(frozen=True)
 class Chunks:
     """CompressionInfo: codec, uncompressed bytes of a chunk and of the file, where each chunk begins."""

@@ -138,3 +138,49 @@ def test_first_unsent_and_source_order(spark):
     assert sink.first_unsent(df).collect()[0]["key"] == "b" and sink.first_unsent(df.where("key = 'c'")).count() == 0
     s = spark.createDataFrame([("f2", 5, "x"), ("f1", 9, "a"), ("f2", 9, "y"), ("f0", 9, "a")], "source string, token int, key string")
     assert [r["source"] for r in scan_range.source_order(s).orderBy("src").collect()] == ["f2", "f0", "f1"]
+
+
+def test_writing_at_once_bounds_and_classifies():
+    import threading
+    import time
+
+    class Busy(Client):
+        most = now = 0
+        lock = threading.Lock()
+
+        def put(self, key, bins, ttl):
+            with Busy.lock:
+                Busy.now += 1
+                Busy.most = max(Busy.most, Busy.now)
+            try:
+                time.sleep(0.005)
+                super().put(key, bins, ttl)
+            finally:
+                with Busy.lock:
+                    Busy.now -= 1
+
+    keys = [b"a%d" % i for i in range(40)] + [b"busy1", b"down", b"bad", b"there"]
+    taken = []
+    rows = (taken.append(k) or {"key": k, "bins": {}, "ttl": None} for k in keys)
+    policy = sink.WritePolicy(retries=3, in_flight=8, threads=4, pause=0.001)
+    written = sink.write_partition(rows, Busy, policy)
+    first = next(written)
+    assert len(taken) <= 8
+    got = {k: s for k, s, _ in [first, *written]}
+    assert 1 < Busy.most <= 4 and len(got) == len(keys)
+    assert (got[b"busy1"], got[b"down"], got[b"bad"], got[b"there"]) == ("exported", "failed", "failed", "existing")
+
+
+def test_attempts_end_with_the_time_they_may_take():
+    policy = sink.WritePolicy(retries=10**6, timeout=0.05, pause=0.005)
+    for threads in (1, 3):
+        policy.threads = threads
+        got = list(sink.write_partition(iter([{"key": b"down", "bins": {}, "ttl": None}]), Client, policy))
+        assert got == [(b"down", "failed", "timeout")]
+
+
+def test_row_keys_differ_as_rows_do(spark):
+    rows = [(b"a", [b"b"], False), (b"a", [b"b", b""], False), (b"a", [None], False), (b"a", [], True), (b"a", None, True), (b"a", [], False), (b"a\0", [], False), (b"a", [b"b"], True)]
+    df = spark.createDataFrame([(bytearray(k), c and [None if x is None else bytearray(x) for x in c], s) for k, c, s in rows], "key binary, clustering array<binary>, is_static boolean")
+    got = [bytes(r["k"]) for r in df.select(sink.row_key().alias("k")).collect()]
+    assert len(set(got)) == 7 and got[0] == b"\0\1a\0\0\1b\0"

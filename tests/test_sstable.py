@@ -215,3 +215,98 @@ def test_options_that_are_wrong(bad):
 def test_options():
     o = options(["-i", "a", "-i", "b", "-D", "-S", "00ff", "-f", "-x", "-C", "-L", "5"])
     assert (o.paths, o.start_key, o.expiry, o.eternal, o.checksum, o.min_ttl) == (["a", "b"], b"\x00\xff", "nearest", 0, False, 5)
+
+
+def test_types_lose_packages_and_order():
+    from siltbed.sources.sstable.metadata import element_type, parameters, short_type
+
+    assert short_type("org.x.marshal.ReversedType(org.x.marshal.TimestampType)") == "TimestampType"
+    assert short_type("org.x.UTF8Type") == "UTF8Type" and parameters("MapType(A,FrozenType(MapType(B,C)))") == ["A", "FrozenType(MapType(B,C))"]
+    assert element_type("ListType(Int32Type)") == "Int32Type" and element_type("MapType(UTF8Type,LongType)") == "LongType"
+    assert element_type("SetType(UTF8Type)") == "EmptyType" and element_type("FrozenType(ListType(Int32Type))") is None and element_type("LongType") is None
+    with pytest.raises(NotImplementedError):
+        element_type("UserType(ks,6e,61:UTF8Type)")
+
+
+def test_reversed_clustering_and_columns_of_several_cells(spark, tmp_path):
+    at = [struct.pack(">q", x) for x in (7, 8)]
+    t = sw.NewTable([("l", f"ListType({sw.DB}marshal.Int32Type)"), ("m", f"MapType({sw.DB}marshal.UTF8Type,{sw.DB}marshal.LongType)"), ("n", "LongType"), ("s", f"SetType({sw.DB}marshal.UTF8Type)")], clustering=[f"ReversedType({sw.DB}marshal.TimestampType)"])
+
+    def several(cells, deletion=None):
+        """An optional deletion, a count, and cells of (path, value or None, ts)."""
+        out = b"" if deletion is None else put_vint(deletion - t.min_ts) + put_vint(1)
+        out += put_vint(len(cells))
+        for path, value, ts in cells:
+            out += bytes([0x04 if value is None else 0]) + put_vint(ts - t.min_ts) + sw.vbytes(path) + (value or b"")
+        return out
+
+    def row(place, deleted, *columns):
+        return bytes([0x04 | 0x20 | 0x40 * deleted]) + put_vint(0) + place + put_vint(1) + put_vint(1) + put_vint(2000 - t.min_ts) + b"".join(columns)
+
+    none = put_vint((1 << 64) - 5)  # no deletion, wrapped around
+    rows = [
+        row(at[1], True, several([(b"u1", b"\0\0\0\5", 2100)], 2050), several([(b"k", bytes(7) + b"\x09", 2100)], 2050), b"\x08" + bytes(8), none + put_vint(1) + several([(b"x", None, 2100), (b"y", None, 2101)])),
+        row(at[0], False, several([]), several([]), b"\x08" + bytes(7) + b"\1", several([(b"z", None, 2102)])),
+    ]
+    older = [row(at[1], False, several([(b"u0", b"\0\0\0\4", 2040), (b"u2", b"\0\0\0\6", 2060)]), several([]), b"\x08" + bytes(8), several([]))]
+    where = tmp_path / "k" / "t"
+    sw.write(where / "ma-1-big", [(b"p", t.partition(b"p", rows))], header=t.header())
+    sw.write(where / "ma-2-big", [(b"p", t.partition(b"p", older))], header=t.header())
+    run = load_table(spark, [str(where)], now=1)
+    got = {bytes(r["clustering"][0]): {k: bytes(v) for k, v in r["bins"].items()} for r in run.exported().collect()}
+    name = layouts.element_name
+    assert got == {
+        at[1]: {name("l", b"u1"): b"\0\0\0\5", name("l", b"u2"): b"\0\0\0\6", name("m", b"k"): bytes(7) + b"\x09", "n": bytes(8), name("s", b"x"): b"", name("s", b"y"): b""},
+        at[0]: {"n": bytes(7) + b"\1", name("s", b"z"): b""},
+    }
+
+
+def test_values_are_skipped_and_times_count_from_an_epoch(spark, tmp_path):
+    where = tmp_path / "k" / "t"
+    row = TABLE.row({"txt": (b"long value", 1300, {}), "num": (bytes(8), None, {"row_ttl": True})}, [bytes(4), b"x"], ts=1200, ttl=30, expires=800)
+    sw.write(where / "ma-1-big", [(b"p", TABLE.partition(b"p", [row]))], header=TABLE.header())
+    sw.write(tmp_path / "o" / "ks-tbl-jb-1", many(naming.JB, 3))
+    whole, bare = read_sstables(spark, [str(where)]), read_sstables(spark, [str(where)], values=False)
+    assert [r["value"] for r in bare.collect()] == [None] * 3 and [c[:-1] for c in cells(bare)] == [c[:-1] for c in cells(whole)]
+    assert [r["value"] for r in read_sstables(spark, [str(tmp_path / "o")], values=False).collect()] == [None] * 3
+    late = {r["name"]: (r["ts"], r["expires_at"]) for r in read_sstables(spark, [str(where)], ts_epoch=10).collect()}
+    assert late == {"": (10_001_200, 810), "txt": (10_001_300, None), "num": (10_001_200, 810)}
+
+
+def test_one_index_entry_is_read_for_each_range(spark, tmp_path, monkeypatch):
+    from siltbed.sources.sstable import datasource
+
+    sw.write(tmp_path / "d" / "ks-tbl-jb-1", many(naming.JB, 3000, value=b"v" * 30), chunk=1024)
+    f = find_files([str(tmp_path / "d")])[0]
+    read, own = [], datasource.read_some
+    monkeypatch.setattr(datasource, "read_some", lambda path, at, most: read.append(at) or own(path, at, most))
+    places = datasource.sample_points(f, None, f.length // 8)
+    assert 7 <= len(places) <= 9 and places[0] is None and not read  # the driver reads the summary alone
+    points = split_points(f, None, f.length // 8)
+    assert points == sorted(set(points)) and len(read) == len(places) - 1
+    assert len(datasource.sample_points(f, b"key1500", 1 << 40)) == 1
+
+
+def test_a_filter_on_the_key_becomes_a_lookup(spark, tmp_path):
+    sw.write(tmp_path / "d" / "ks-tbl-jb-1", many(naming.JB, 60), chunk=128)
+    name = "spark.sql.python.filterPushdown.enabled"
+    spark.conf.set(name, "true")
+    try:
+        df = read_sstables(spark, [str(tmp_path / "d")], split_bytes=100)
+        one = df.where(df["key"] == bytearray(b"key007"))
+        assert [g[0] for g in cells(one)] == [b"key007"] and cells(df.where("ts > 0")) == cells(df)
+    finally:
+        spark.conf.set(name, "false")
+
+
+def test_a_table_with_clustering_is_loaded_whole(spark, tmp_path, capsys):
+    t = sw.NewTable([("n", "LongType")], [("st", "UTF8Type")], ["Int32Type"])
+    at = [struct.pack(">i", i) for i in range(3)]
+    rows = [t.row({"st": (b"s", None, {})}, ts=1200, static=True)] + [t.row({"n": (bytes(7) + bytes([i]), None, {})}, [at[i]], ts=1200) for i in range(3)]
+    where, target = tmp_path / "ks" / "t", str(tmp_path / "target")
+    sw.write(where / "ma-1-big", [(b"p", t.partition(b"p", rows)), (b"q", t.partition(b"q", rows[1:2]))], header=t.header())
+    for n, there in ((5, 0), (0, 5)):
+        assert main(["-i", str(where), "-o", target]) == 0
+        assert f"Exported {n} records, failed to write 0, skipped 0 deleted and 0 expired ones and {there} that were there." in capsys.readouterr().out
+    got = sorted((bytes(r["key"]), r["is_static"], [bytes(x) for x in r["clustering"]], {k: bytes(v) for k, v in r["bins"].items()}) for r in spark.read.parquet(target).collect())
+    assert got == [*((b"p", False, [at[i]], {"n": bytes(7) + bytes([i])}) for i in range(3)), (b"p", True, [], {"st": b"s"}), (b"q", False, [at[0]], {"n": bytes(8)})]
