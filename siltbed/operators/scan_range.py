@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltbed.operators.shared import new_folder
+
 
 def at_or_after(token: Column, key: Column, start_token: Column, start_key: Column, inclusive: bool = True) -> Column:
     """(token, key) >= the start, as plain comparisons that reach a scan. Null tokens (byte-ordered) compare by key alone."""
@@ -37,10 +36,10 @@ def ordinals(df: DataFrame, by: list[str], name: str = "ordinal") -> DataFrame:
     Rows are range-partitioned and written once, so the ranges can't change if a task is run again; ordinals inside a
     partition are shifted by the sizes of those before it, of which there is one row a partition.
     """
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir("file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "siltbed"))
-    dealt = df.repartitionByRange(*by).withColumn("_p", F.spark_partition_id()).checkpoint()
+    where = new_folder(df.sparkSession, "ordinals")
+    ranged = df.repartitionByRange(*by).withColumn("_p", F.spark_partition_id())
+    ranged.write.mode("overwrite").parquet(where)
+    dealt = df.sparkSession.read.schema(ranged.schema).parquet(where)
     inside = Window.partitionBy("_p").orderBy(*by)
     sizes = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from siltbed.functions import scalars, tokens
 from siltbed.operators import reconcile as rc
 from siltbed.operators import scan_range, sink, ttl
+from siltbed.operators.shared import new_folder
+from siltbed.plans.loader import load_table
 from siltbed.plans.views import CELLS_SQL, NOW, event_cells, line_cells, table
+from siltbed.sources.sstable.datasource import File, describe_files, find_files, read_files
+from siltbed.sources.sstable.writer import Layout, write_sstables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -346,3 +350,176 @@ def q41_source_verdicts(spark, d):
     s = e.groupBy("src").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
     first = s.agg(F.min_by("types", "src").alias("wanted"))
     return s.crossJoin(first).select("src", F.size("types").cast("long").alias("n_types"), (F.col("types") == F.col("wanted")).alias("consistent"))
+
+
+# Queries over table files, which hold the cells of events: each writes them first, to a new folder that the cluster shares.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def _event_files(spark, d, layout: Layout, rows: bool = False) -> list[File]:
+    """The files of events in a layout, one for each source, each with one version of a cell. With ``rows`` event types are clustering
+    values of rows with one column ``v``; every 101st event deletes its partition and every 37th its row."""
+    e = event_cells(spark, d).withColumn("text", F.col("value").cast("string").cast("binary"))
+    kept = ("ts", "deleted", "ttl", "expires_at", "text")
+    cells = rc.latest(e, ("src", "key"), kept).select("src", "key", F.lit("cell").alias("kind"), "name", F.lit(None).cast("string").alias("range_end"), *kept)
+    null = F.lit(None)
+    marks = e.where("kind <> 'cell'").groupBy("src", "key", "kind", "name", "range_end").agg(F.max("ts").alias("ts"))
+    marks = marks.select("src", "key", "kind", "name", "range_end", "ts", F.lit(False).alias("deleted"), null.cast("long").alias("ttl"), null.cast("long").alias("expires_at"), null.cast("binary").alias("text"))
+    if rows:
+        row = F.array(F.col("name").cast("binary"))
+        cells = cells.withColumn("clustering", row).withColumn("name", F.lit("v"))
+        gone = e.where("kind = 'cell' and pos % 37 = 0").groupBy("src", "key", "name").agg(F.max("ts").alias("ts"))
+        gone = gone.select("src", "key", F.lit("row_deletion").alias("kind"), row.alias("clustering"), "ts", F.lit(False).alias("deleted"))
+        marks = marks.where("kind = 'row_deletion'").unionByName(gone, allowMissingColumns=True)
+    out = cells.unionByName(marks, allowMissingColumns=True).withColumnRenamed("text", "value").withColumn("key", F.col("key").cast("string").cast("binary"))
+    folder = new_folder(spark, "event-files")
+    write_sstables(out, folder, "ks", "events", layout).collect()  # one row a file
+    return find_files([f"{folder}/ks/events"])
+
+
+_text = lambda c: F.col(c).cast("string")
+_FILE_MERGED = "SELECT CAST(key AS VARCHAR) AS key, name, ts, value, expires_at FROM merged"
+
+
+def _file_merged(spark, files: list[File], **options) -> DataFrame:
+    cells = rc.exploded(rc.reconcile(read_files(spark, files, **options)))
+    return cells.select(_text("key").alias("key"), "name", "ts", _text("value").cast("double").alias("value"), "expires_at")
+
+
+@query(_FILE_MERGED, cells=True)
+def q42_merge_of_counted_files(spark, d):
+    """Rows with a count of columns, no compression, in small ranges."""
+    return _file_merged(spark, _event_files(spark, d, Layout("hc", "RandomPartitioner", None, every=4)), split_bytes=4096)
+
+
+@query(_FILE_MERGED, cells=True)
+def q43_merge_of_older_files(spark, d):
+    """Snappy, checksums over what is compressed, columns up to an empty name."""
+    return _file_merged(spark, _event_files(spark, d, Layout("jb", codec="SnappyCompressor", chunk=1 << 12, every=4)), split_bytes=4096)
+
+
+@query(_FILE_MERGED, cells=True)
+def q44_merge_of_files_with_checked_data(spark, d):
+    """Deflate, checksums over what was compressed."""
+    return _file_merged(spark, _event_files(spark, d, Layout("ib", codec="DeflateCompressor", chunk=1 << 12)))
+
+
+_ROWS = """rd AS (SELECT key, name, max(ts) AS rts FROM e WHERE pos % 37 = 0 GROUP BY key, name),
+l2 AS (SELECT l.* FROM live l LEFT JOIN pd ON l.key = pd.key LEFT JOIN rd ON l.key = rd.key AND l.name = rd.name
+  WHERE (pd.del_ts IS NULL OR pd.del_ts < l.ts) AND (rts IS NULL OR rts < l.ts))"""
+
+
+def _row_files(spark, d) -> list[File]:
+    return _event_files(spark, d, Layout("mc", regular=(("u", "LongType"), ("v", "UTF8Type")), clustering=("UTF8Type",), chunk=1 << 12, every=4), rows=True)
+
+
+@query(f", {_ROWS} SELECT CAST(key AS VARCHAR) AS key, name AS place, 'v' AS name, ts, value, ttl, expires_at FROM l2", cells=True)
+def q45_merge_of_newer_files(spark, d):
+    """Clustering columns, a subset of the columns in each row, delta-coded times, LZ4."""
+    cells = rc.exploded(rc.reconcile_wide(read_files(spark, _row_files(spark, d), split_bytes=4096)), ("key", "clustering"))
+    return cells.select(_text("key").alias("key"), F.col("clustering")[0].cast("string").alias("place"), "name", "ts", _text("value").cast("double").alias("value"), "ttl", "expires_at")
+
+
+@query(f", {_ROWS} SELECT CAST(key AS VARCHAR) AS key, name AS place, value, CAST(expires_at - {NOW} AS BIGINT) AS ttl FROM l2 WHERE expires_at IS NULL OR expires_at >= {NOW} + 1", cells=True)
+def q46_load_of_a_clustered_table(spark, d):
+    """Every row of a partition is a record of its own."""
+    run = load_table(spark, [], files=_row_files(spark, d), now=NOW)
+    out = run.exported().where(F.size("clustering") > 0)
+    return out.select(_text("key").alias("key"), F.col("clustering")[0].cast("string").alias("place"), F.col("bins")["v"].cast("string").cast("double").alias("value"), "ttl")
+
+
+@query("SELECT src, CAST(key AS VARCHAR) AS key, name, max(ts) AS ts FROM e WHERE key = 7 GROUP BY ALL", cells=True)
+def q47_lookup_in_files(spark, d):
+    """One key by summary and index; values are skipped."""
+    files = _event_files(spark, d, Layout("jb", every=2))
+    cells = read_files(spark, files, key="7", values=False).where("kind = 'cell'")
+    return cells.select(_source(files).alias("src"), _text("key").alias("key"), "name", "ts")
+
+
+def _source(files: list[File]) -> F.Column:
+    """The source that a file was written from, by its place in the order of first keys."""
+    return F.array(*[F.lit(int(f.table.stem.rpartition("-")[2])) for f in files])[F.col("src")]
+
+
+_USERS = f"o AS (SELECT key, token FROM (SELECT key, {_TOKEN} AS token FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key, CAST('0x' || md5(CAST(user_id AS VARCHAR)) AS uhugeint) AS x FROM events)))"
+
+
+@query(f"WITH {_USERS} SELECT key, token FROM o WHERE (token, key) >= (SELECT (token, key) FROM o WHERE key = '7')")
+def q48_seek_in_files(spark, d):
+    """Partitions from a start key on, in the partitioner's order."""
+    cells = read_files(spark, _event_files(spark, d, Layout("hc", "RandomPartitioner", every=2)), start_key="7")
+    return cells.select(_text("key").alias("key"), F.lower(F.hex("token")).alias("token")).distinct()
+
+
+@query("SELECT CAST(event_id % 3 AS INTEGER) AS src, CAST(12 * 26 + 2 AS INTEGER) AS version, 'ks' AS keyspace, 'events' AS \"table\", 'Murmur3Partitioner' AS partitioner, 'UTF8Type' AS clustering, 'u LongType,v UTF8Type' AS columns FROM events GROUP BY 1")
+def q49_files_described(spark, d):
+    """Names, Statistics and header of the files."""
+    about = describe_files(spark, _row_files(spark, d))
+    columns = F.array_join(F.transform("regular_columns", lambda c: F.concat_ws(" ", c["name"], c["format"])), ",")
+    src = F.regexp_extract("path", r"-(\d+)-big-Data", 1).cast("int")
+    return about.select(src.alias("src"), "version", "keyspace", "table", "partitioner", F.array_join("clustering", ",").alias("clustering"), columns.alias("columns"))
+
+
+@query("SELECT CAST(event_id % 3 AS INTEGER) AS src, count(DISTINCT user_id) AS n_partitions, true AS all_there FROM events GROUP BY 1")
+def q50_file_sizes(spark, d):
+    """Partitions of each file, and whether its stored bytes are what its file system says."""
+    files = _event_files(spark, d, Layout("jb"))
+    path = F.regexp_replace(F.col("path"), "^file:/+", "/")
+    sizes = spark.read.format("binaryFile").load([_folder(f) + "/*-Data.db" for f in files[:1]]).select(path.alias("path"), F.col("length").alias("stored"))
+    about = describe_files(spark, files).withColumn("path", path)
+    seen = read_files(spark, files, values=False).select(_source(files).alias("src"), "key").groupBy("src").agg(F.count_distinct("key").alias("n_partitions"))
+    there = about.join(sizes, "path").groupBy(F.regexp_extract("path", r"-(\d+)-Data", 1).cast("int").alias("src")).agg(F.bool_and(F.col("length") == F.col("stored")).alias("all_there"))
+    return seen.join(there, "src").select("src", "n_partitions", "all_there")
+
+
+def _folder(f: File) -> str:
+    return f.table.stem.rpartition("/")[0]
+
+
+@query("SELECT key, name, ts FROM w WHERE NOT deleted AND pos % 5 <> 0", cells=True)
+def q51_unnamed_cells(spark, d):
+    """A name that is empty marks a row and is never a column: here every fifth winner's."""
+    w = rc.latest(event_cells(spark, d), kept=("ts", "deleted", "value", "pos"))
+    marked = w.withColumn("name", F.when(F.col("pos") % 5 == 0, F.lit("")).otherwise(F.col("name")))
+    return rc.live_cells(marked).select("key", "name", "ts")
+
+
+@query(f"WITH {_ORDERS}, s AS (SELECT (token, key) AS start_at FROM o WHERE key = '7') SELECT key, token, (token, key) >= (SELECT start_at FROM s) AS resumed FROM o")
+def q52_resumed_runs(spark, d):
+    """A run that stopped before a key and one that starts there, one after the other: all keys, each once."""
+    keys = _order_keys(spark, d)
+    stopped = keys.where(~scan_range.at_or_after(F.col("token"), F.col("key"), *_start("7")))
+    resumed = scan_range.seek(keys, *_start("7"))
+    return stopped.withColumn("resumed", F.lit(False)).unionByName(resumed.withColumn("resumed", F.lit(True)))
+
+
+@query(f"WITH {_USERS}, f AS (SELECT CAST(event_id % 3 AS INTEGER) AS source, min((token, key)) AS first FROM events JOIN o ON o.key = CAST(user_id AS VARCHAR) GROUP BY 1) SELECT source, CAST(row_number() OVER (ORDER BY first, source) - 1 AS INTEGER) AS src FROM f")
+def q53_order_of_files(spark, d):
+    """Files by their first (token, key), as the reader numbers them."""
+    files = _event_files(spark, d, Layout("hc", "RandomPartitioner"))
+    return spark.createDataFrame([(int(f.table.stem.rpartition("-")[2]), i) for i, f in enumerate(files)], "source int, src int")
+
+
+_TIMES = lambda a, b: f"CAST(CAST({a} AS UHUGEINT) * CAST({b} AS UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+_PLUS = lambda a, b: f"CAST((CAST({a} AS UHUGEINT) + CAST({b} AS UHUGEINT)) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+_SHIFTED = lambda x: f"xor({x}, {x} >> 33)"
+_MIXED = lambda x: f"SELECT key, {', '.join(x(h) + ' AS ' + h for h in ('h1', 'h2'))} FROM"
+#: The murmur token of keys of up to eight bytes of ASCII, in 64-bit arithmetic. Constants are fixed values of murmur3.
+_MURMUR = f"""WITH k AS (SELECT key, CAST(list_sum([CAST(ascii(key[i]) AS UHUGEINT) * (256::UHUGEINT ** (i - 1))::UHUGEINT for i in range(1, length(key) + 1)]) AS UBIGINT) AS k1 FROM (SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders)),
+a AS (SELECT key, {_TIMES("k1", "9782798678568883157")} AS k1 FROM k),
+b AS (SELECT key, {_PLUS(_TIMES("k1", "2147483648"), "k1 >> 33")} AS k1 FROM a),
+c AS (SELECT key, xor({_TIMES("k1", "5545529020109919103")}, CAST(length(key) AS UBIGINT)) AS h1, CAST(length(key) AS UBIGINT) AS h2 FROM b),
+d AS (SELECT key, {_PLUS("h1", "h2")} AS h1, h2 FROM c), f AS (SELECT key, h1, {_PLUS("h1", "h2")} AS h2 FROM d),
+m1 AS ({_MIXED(_SHIFTED)} f), m2 AS ({_MIXED(lambda h: _TIMES(h, "18397679294719823053"))} m1), m3 AS ({_MIXED(_SHIFTED)} m2),
+m4 AS ({_MIXED(lambda h: _TIMES(h, "14181476777654086739"))} m3), m5 AS ({_MIXED(_SHIFTED)} m4),
+t AS (SELECT key, {_PLUS("h1", "h2")} AS h FROM m5),
+o AS (SELECT key, CASE WHEN h < 9223372036854775808 THEN CAST(h AS BIGINT) WHEN h = 9223372036854775808 THEN 9223372036854775807
+  ELSE CAST(CAST(h AS HUGEINT) - 18446744073709551616 AS BIGINT) END AS token FROM t)"""
+#: The token of q32 in SQL, by 128-bit products.
+SQL["q32_murmur_token"] = f"{_MURMUR} SELECT key, token FROM o"
+
+
+@query(f"{_MURMUR} SELECT key, token, row_number() OVER (ORDER BY token, key) AS ordinal FROM o")
+def q54_murmur_order(spark, d):
+    keys = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("key"))
+    return scan_range.ordinals(keys.withColumn("token", tokens.murmur_token("key")), ["token", "key"])
