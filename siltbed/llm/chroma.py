@@ -24,8 +24,18 @@ WIDEST = 12
 RECORDINGS, QUERIES = 4096, 1024
 
 
+def _without_highs(x: np.ndarray, rate: int) -> np.ndarray:
+    """x without what RATE can't hold, which would come back as other pitches: a windowed sinc, in blocks."""
+    reach = math.ceil(12 * rate / RATE)
+    t = np.arange(-reach, reach + 1)
+    taps = np.sinc(0.9 * RATE / rate * t) * np.hamming(len(t))
+    taps /= taps.sum()
+    padded = np.pad(x, reach)
+    return np.concatenate([np.convolve(padded[a : a + (1 << 16) + 2 * reach], taps, "valid") for a in range(0, len(x), 1 << 16)])
+
+
 def read_wav(data: bytes | None) -> np.ndarray:
-    """Mono samples in [-1, 1] at RATE; none if data is null or no PCM WAV file."""
+    """Mono samples in [-1, 1] at RATE; none if data is null or no PCM WAV file. Other rates are low-passed and interpolated."""
     try:
         with wave.open(io.BytesIO(data or b"")) as f:
             wide, channels, rate, frames = f.getsampwidth(), f.getnchannels(), f.getframerate(), f.readframes(f.getnframes())
@@ -40,6 +50,8 @@ def read_wav(data: bytes | None) -> np.ndarray:
         x = np.frombuffer(frames[: len(frames) // wide * wide], f"<i{wide}").astype(np.float64) / float(1 << (8 * wide - 1))
     x = x[: len(x) // channels * channels].reshape(-1, channels).mean(axis=1)
     if rate != RATE and len(x):
+        if rate > RATE:
+            x = _without_highs(x, rate)
         x = np.interp(np.arange(0, len(x) / rate, 1 / RATE), np.arange(len(x)) / rate, x)
     return x
 

@@ -83,3 +83,34 @@ def test_vectors_as_sound(spark):
     got = {(r["query_id"], r["id"]) for r in ch.matches(prints, F.col("id") % 2 == 0).collect()}
     near = {(q, r) for i in range(60) for q, r in ((3 * i, 3 * i + 1), (3 * i + 1, 3 * i)) if q % 2 == 0}
     assert len(got & near) >= 0.9 * len(near)
+
+
+def wav_at(rate, x, channels=1):
+    import io
+    import wave
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as f:
+        f.setnchannels(channels)
+        f.setsampwidth(2)
+        f.setframerate(rate)
+        f.writeframes(np.repeat((np.clip(x, -1, 1) * 32767).astype("<i2"), channels).tobytes())
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("rate, channels", [(44100, 2), (16000, 1), (6000, 1)])
+def test_rates_agree(rate, channels):
+    rnd = np.random.default_rng(3)
+    pitches = 110 * 2 ** (rnd.integers(0, 36, 40) / 12)
+
+    def sound(at):
+        hz = np.repeat(pitches, round(600 * at / ch.RATE))
+        x = 0.3 * np.sin(2 * np.pi * np.cumsum(hz) / at)
+        if at > 2 * ch.RATE:  # tones that 8 kHz can't hold: they would alias to 900 and 1300 Hz
+            t = np.arange(len(x)) / at
+            x = x + 0.3 * np.sin(2 * np.pi * 8900 * t) + 0.3 * np.sin(2 * np.pi * 9300 * t)
+        return x
+
+    a, b = ch.fingerprint(sound(ch.RATE)), ch.fingerprint(ch.read_wav(wav_at(rate, sound(rate), channels)))
+    offset, votes, errors = ch.align(a, b)
+    assert offset == 0 and votes > len(a) / 3 and errors < 0.06
