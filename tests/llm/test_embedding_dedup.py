@@ -75,3 +75,38 @@ def test_rows_without_an_id_link_others(spark):
     want = [(5, 1, 3, False), (None, 2, 3, True), (3, 1, 3, True), (None, 1, None, True), (None, 1, None, True)]
     want += [(8, 1, 7, False), (8, 2, 7, False), (7, 1, 7, True), (9, 2, 7, False), (9, 2, 7, False)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("few", [3, 48])
+def test_all_pairs_of_groups(monkeypatch, few):
+    monkeypatch.setattr(ed, "FEW", few)
+    cut = np.cumsum([0, 1, 2, 150, 3, 7, 1, 4])
+    got = sorted((int(x), int(y)) for p, q in ed._pairs_in(cut) for x, y in zip(p, q, strict=True))
+    assert got == [(x, y) for a, b in zip(cut, cut[1:], strict=False) for x in range(a, b) for y in range(x + 1, b)]
+
+
+def test_codes_of_near_vectors_differ_little_and_bands_tell_earlier_meetings():
+    c, rnd = Codes(64, 20, 7), np.random.default_rng(5)
+    x = c.unit(rnd.normal(size=(3000, 64)))
+    noise = rnd.normal(size=(3000, 64))
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + math.sqrt(1 - 0.81) * c.unit(noise)  # cosine 0.9
+    a, b = (c.encode(c.rotate(v))[0] for v in (x, y))
+    far = np.bitwise_count(a ^ b).sum(axis=1)
+    assert far.max() <= c.most_different(0.9) < c.bits // 3
+    assert abs(far.mean() / c.bits - math.acos(0.9) / math.pi) < 0.002
+    assert c.bits == 256  # however many tables there are
+    u, v = c.bands(x), c.bands(y)
+    p, q = np.packbits(u, axis=1), np.packbits(v, axis=1)
+    same = c.keys(u) == c.keys(v)
+    for t in (0, 1, 13, 20):
+        size = -(-t * 7 // 8)
+        assert (ed.met_before(p[:, :size], q[:, :size], t, 7) == same[:, :t].any(axis=1)).all()
+
+
+def test_a_large_group_of_near_copies(spark):
+    rnd = np.random.default_rng(2)
+    base = rnd.normal(size=12)
+    rows = [(i, [float(z) for z in base + rnd.normal(size=12) * 0.02 * (i % 5)]) for i in range(120)] + [(500 + i, [float(z) for z in rnd.normal(size=12)]) for i in range(40)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == plain(rows, 0.9)
