@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 import time
 from collections.abc import Callable
@@ -11,7 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.functions import scalars
 from siltbed.operators import reconcile, scan_range, sink, ttl
+from siltbed.operators.shared import new_folder
 from siltbed.sources.sstable.datasource import File, find_files, read_files
 
 #: Records of a target; of a table with clustering columns each row is a record of its own.
@@ -111,10 +114,21 @@ def load_table(
     return run
 
 
+VERSION = "0.2"
+
+
 def options(args: list[str]) -> argparse.Namespace:
-    p = argparse.ArgumentParser("siltbed", description="Load a table's files into a target, or print them.")
+    p = argparse.ArgumentParser("siltbed", description="Load a table's files into a target, or print them.", add_help=False)
+    p.add_argument("--help", action="help", help="show this text")
+    p.add_argument("-v", action="version", version=f"siltbed {VERSION}", help="show the version")
     p.add_argument("-i", dest="paths", action="append", required=True, metavar="DIR", help="folder with data files; may be repeated")
     p.add_argument("-o", dest="target", metavar="DIR", help="Parquet folder to load into")
+    p.add_argument("-h", dest="hosts", action="append", default=[], metavar="HOST[:PORT]", help="host of a key-value store to load into (needs -k); may be repeated")
+    p.add_argument("-k", dest="client", metavar="MODULE:NAME", help="what connects to it: called with hosts, user, password, namespace and set_name, gives a client with put and close")
+    p.add_argument("-u", dest="user", help="user of the store")
+    p.add_argument("-p", dest="password", help="password of the store")
+    p.add_argument("-e", dest="threads", type=int, default=4, help="threads that write, for each task")
+    p.add_argument("-a", dest="in_flight", type=int, default=100, help="records in flight at once, for each thread")
     p.add_argument("-n", dest="namespace", help="target namespace, by default the keyspace")
     p.add_argument("-t", dest="set_name", help="target set, by default the table")
     p.add_argument("-C", dest="checksum", action="store_false", help="don't verify checksums")
@@ -130,14 +144,43 @@ def options(args: list[str]) -> argparse.Namespace:
     try:
         got.start_key = got.start_text.encode() if got.start_text is not None else bytes.fromhex(got.start_hex) if got.start_hex is not None else None
         ttl.check_min_ttl(got.min_ttl)
+        sink.WritePolicy(threads=got.threads, in_flight=got.in_flight)
     except ValueError as e:
         p.error(str(e))
-    if not got.dry_run and not got.target:
-        p.error("-o or -D is needed")
+    if got.dry_run + bool(got.target) + bool(got.hosts) != 1 and not (got.dry_run and got.target):
+        p.error("one of -o, -h and -D is needed")
+    if bool(got.hosts) != bool(got.client):
+        p.error("-h and -k go together")
     return got
 
 
+def write_to_store(spark: SparkSession, run: Run, o: argparse.Namespace) -> DataFrame:
+    """(key, status, reason) of all exported records, written once to the shared folder."""
+    module, _, name = o.client.partition(":")
+    hosts = [(h["host"], h["port"]) for h in (r["h"] for r in spark.createDataFrame([(x,) for x in o.hosts], "x string").select(scalars.host_and_port(F.col("x")).alias("h")).collect())]
+
+    given = {"hosts": hosts, "user": o.user, "password": o.password, "namespace": run.namespace, "set_name": run.set_name}
+
+    def connect():
+        return getattr(importlib.import_module(module), name)(**given)
+
+    key = sink.row_key() if run.key == WIDE_KEY else F.col("key")
+    policy = sink.WritePolicy(threads=o.threads, in_flight=o.threads * o.in_flight)
+    where = new_folder(spark, "statuses")
+    written = sink.write_records(run.exported().select(key.alias("key"), "bins", "ttl"), connect, policy)
+    written.write.mode("overwrite").parquet(where)
+    return spark.read.schema(written.schema).parquet(where)
+
+
+def hint(at: DataFrame) -> str:
+    """How to go on from a cursor: the options, or nothing if no key is left."""
+    found = at.select(sink.resume_hint().alias("h")).first()
+    return found["h"] if found else ""
+
+
 def main(args: list[str] | None = None) -> int:
+    """The command line. A run that is interrupted cancels its tasks and says from which key to go on; so does one that failed to
+    write some records. Targets are create-only, so going on earlier than needed does no harm."""
     o = options(sys.argv[1:] if args is None else args)
     spark = SparkSession.builder.appName("siltbed").getOrCreate()
     if o.dry_run:
@@ -147,11 +190,31 @@ def main(args: list[str] | None = None) -> int:
         return 0
     files = find_files(o.paths)
     wide = bool(files[0].meta.header.clustering)
-    place = sink.TableTarget(spark, o.target, WIDE_RECORD if wide else RECORD, WIDE_KEY if wide else KEY)
-    there = place.read()
-    run = load_table(spark, o.paths, files=files, namespace=o.namespace, set_name=o.set_name, start_key=o.start_key, min_ttl=o.min_ttl, eternal=o.eternal, expiry=o.expiry, checksum=o.checksum, target=there)
+    place = sink.TableTarget(spark, o.target, WIDE_RECORD if wide else RECORD, WIDE_KEY if wide else KEY) if o.target else None
+
+    def planned() -> Run:
+        there = place.read() if place else None
+        return load_table(spark, o.paths, files=files, namespace=o.namespace, set_name=o.set_name, start_key=o.start_key, min_ttl=o.min_ttl, eternal=o.eternal, expiry=o.expiry, checksum=o.checksum, target=there)
+
+    run = planned()
     for w in run.warnings:
         print(f"warning: {w}", file=sys.stderr)
-    n = place.create(run.records)
+    try:
+        if place:
+            n, failed = place.create(run.records), ""
+        else:
+            statuses = write_to_store(spark, run, o)
+            n = run.summary.first().asDict() | {r["status"]: r["count"] for r in [{"status": s, "count": 0} for s in ("exported", "existing", "failed")] + statuses.groupBy("status").count().collect()}
+            keys = run.records.where("status = 'exported'").withColumn("written", sink.row_key() if wide else F.col("key"))
+            lost = statuses.where("status = 'failed'").select(F.col("key").alias("written"))
+            failed = hint(scan_range.first_key(keys.join(lost, "written", "left_semi"))) if n["failed"] else ""
+    except KeyboardInterrupt:
+        spark.sparkContext.cancelAllJobs()
+        rest = planned()
+        at = hint(scan_range.first_key(rest.records.where("status = 'exported'")))
+        print(f"Stopped. {f'Go on with {at}' if at else 'Nothing is left.'}", file=sys.stderr)
+        return 130
     print(f"Exported {n['exported']} records, failed to write {n['failed']}, skipped {n['skipped']} deleted and {n['expired']} expired ones and {n['existing']} that were there.")
-    return 0
+    if failed:
+        print(f"Go on with {failed}", file=sys.stderr)
+    return 1 if failed else 0
