@@ -12,6 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltbed.functions import places
+from siltbed.functions.places import Order
+
 ROW = ("key",)
 #: What a column keeps of its winning version.
 KEPT = ("ts", "deleted", "ttl", "expires_at", "value")
@@ -121,15 +124,26 @@ def reconcile(cells: DataFrame, row: tuple[str, ...] = ROW, drop_expired_at: int
     return rows if keep_deleted else rows.where(F.col("del_ts").isNull() | (F.size("columns") > 0))
 
 
-def reconcile_wide(cells: DataFrame, drop_expired_at: int | None = None, keep_deleted: bool = False) -> DataFrame:
-    """Like reconcile, for tables with clustering columns: a row is (key, clustering, is_static), and a deletion of a whole
-    partition (no clustering) reaches all its rows through one join by key."""
+def reconcile_wide(cells: DataFrame, drop_expired_at: int | None = None, keep_deleted: bool = False, order: Order | None = None) -> DataFrame:
+    """Like reconcile, for tables with clustering columns: a row is (key, clustering, is_static). Deletions of a whole partition (no
+    clustering) and of ranges of rows (rows_deletion) reach their rows through one join by key; static rows are in no range.
+
+    ``order`` says how the clustering columns are ordered; without it, or with types of another order, a rows_deletion is an error. A partition's rows are each tested
+    against all its deletions and ranges, of which a table's files hold few for a key.
+    """
     whole = (F.col("kind") == "row_deletion") & F.col("clustering").isNull() & ~F.col("is_static")
-    partitions = cells.where(whole).groupBy("key").agg(F.max("ts").alias("p"))
+    of_rows = F.col("kind") == "rows_deletion"
+    if order is None or not places.is_known(order):
+        order = None
+        cells = cells.where(F.when(of_rows, F.raise_error(F.lit("ranges of rows need the order of the clustering columns")).cast("boolean")).otherwise(F.lit(True)))
     row = ("key", "clustering", "is_static")
-    parts = cells.where(~whole | F.col("clustering").isNotNull())
-    rows = parts.select(*row).distinct().join(partitions, "key")
-    extra = rows.select(*row, F.lit("row_deletion").alias("kind"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("range_end"), F.col("p").alias("ts"))
+    marks = cells.where(whole | of_rows).groupBy("key", F.when(of_rows, F.col("name")).alias("lo"), F.when(of_rows, F.col("range_end")).alias("hi")).agg(F.max("ts").alias("p"))
+    parts = cells.where(~(whole | of_rows))
+    at = places.place("clustering", order) if order else F.lit(None).cast("string")
+    rows = parts.select(*row).distinct().withColumn("_at", at)
+    marks = marks.withColumnRenamed("key", "_key")
+    found = rows.join(marks, (F.col("key") == F.col("_key")) & (F.col("hi").isNull() | F.col("_at").between(F.col("lo"), F.col("hi"))))
+    extra = found.select(*row, F.lit("row_deletion").alias("kind"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("range_end"), F.col("p").alias("ts"))
     return reconcile(parts.unionByName(extra, allowMissingColumns=True), row, drop_expired_at, keep_deleted)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions import scalars
+from siltbed.functions.places import Order
 from siltbed.operators import reconcile, scan_range, sink, ttl
 from siltbed.operators.shared import new_folder
 from siltbed.sources.sstable.datasource import File, find_files, read_files
@@ -58,16 +59,16 @@ def _order(df: DataFrame) -> list[str]:
     return [c for c in ("token", "key", "clustering") if c in df.columns]
 
 
-def records(cells: DataFrame, now: int, min_ttl: int = 1, eternal: int | None = None, expiry: str = "latest", target: DataFrame | None = None, drop_expired_cells: bool = False, wide: bool = False) -> DataFrame:
+def records(cells: DataFrame, now: int, min_ttl: int = 1, eternal: int | None = None, expiry: str = "latest", target: DataFrame | None = None, drop_expired_cells: bool = False, wide: bool = False, order: Order | None = None) -> DataFrame:
     """Every row of cells with columns, expiry, status, bins and ttl (null for never, or ``eternal``).
 
     Rows that are deleted and empty come with the status skipped. With ``wide`` every row of a partition is a record, identified by key,
-    clustering (empty for static rows and partitions) and is_static, in the target as well.
+    clustering (empty for static rows and partitions) and is_static, in the target as well; ``order`` is that of the clustering columns.
     """
     ttl.check_min_ttl(min_ttl)
     at = now if drop_expired_cells else None
     if wide:
-        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True).withColumn("clustering", F.coalesce("clustering", F.array().cast("array<binary>")))
+        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True, order=order).withColumn("clustering", F.coalesce("clustering", F.array().cast("array<binary>")))
     else:
         rows = reconcile.reconcile(cells, ("token", "key") if "token" in cells.columns else ("key",), at, keep_deleted=True)
     out = rows.withColumn("expiry", ttl.expiry("columns", expiry))
@@ -103,11 +104,11 @@ def load_table(
     are created only. Several runs over the same files write nothing twice. Files are listed once, unless they are given.
     """
     files = find_files(paths, keyspace, table, ts_epoch=ts_epoch) if files is None else files
-    about = files[0].table
+    about, header = files[0].table, files[0].meta.header
     cells = read_files(spark, files, checksum=checksum, start_key_hex=start_key.hex() if start_key is not None else None)
     now = int(time.time()) if now is None else now
     space, set_, warnings = sink.target_names(about.keyspace, about.table, namespace, set_name)
-    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(files[0].meta.header.clustering))
+    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(header.clustering), order=header.order)
     run = Run(recs, sink.summary(recs), space, set_, warnings)
     if on_target is not None:
         on_target(run.exported())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions import scalars, tokens
+from siltbed.functions import places, scalars, tokens
 from siltbed.operators import reconcile as rc
 from siltbed.operators import scan_range, sink, ttl
 from siltbed.operators.shared import new_folder
@@ -428,6 +428,21 @@ def q46_load_of_a_clustered_table(spark, d):
     return out.select(_text("key").alias("key"), F.col("clustering")[0].cast("string").alias("place"), F.col("bins")["v"].cast("string").cast("double").alias("value"), "ttl")
 
 
+@query("SELECT key, name AS place, ts, value, expires_at FROM merged", cells=True)
+def q55_rows_deleted_in_ranges(spark, d):
+    """Ranges of rows, from one clustering value to another, instead of ranges of columns in a row."""
+    e, order = event_cells(spark, d), (("UTF8Type", False),)
+    row = lambda c: F.array(F.col(c).cast("binary"))
+    is_cell, of_rows = F.col("kind") == "cell", F.col("kind") == "range_tombstone"
+    cells = e.select(
+        "src", "key", F.when(is_cell, row("name")).alias("clustering"), F.lit(False).alias("is_static"), F.when(of_rows, "rows_deletion").otherwise(F.col("kind")).alias("kind"),
+        F.when(is_cell, "v").when(of_rows, places.place(row("name"), order)).alias("name"), F.when(of_rows, F.concat(places.place(row("range_end"), order), F.lit(places.BEYOND))).alias("range_end"),
+        "ts", "deleted", "ttl", "expires_at", "value", "pos",
+    )
+    rows = rc.exploded(rc.reconcile_wide(cells, order=order), ("key", "clustering"))
+    return rows.select("key", F.col("clustering")[0].cast("string").alias("place"), "ts", "value", "expires_at")
+
+
 @query("SELECT src, CAST(key AS VARCHAR) AS key, name, max(ts) AS ts FROM e WHERE key = 7 GROUP BY ALL", cells=True)
 def q47_lookup_in_files(spark, d):
     """One key by summary and index; values are skipped."""

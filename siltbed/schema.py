@@ -9,7 +9,8 @@ def cells(token: T.DataType | None = None, key: T.DataType | None = None, value:
     """Long form: one row for each cell version or tombstone.
 
     kind is ``cell``, ``row_deletion`` (ts says when; without clustering it deletes the partition) or ``range_tombstone``
-    (names from name to range_end, both included). clustering is null for static rows, partitions and layouts without it.
+    (names from name to range_end, both included), or ``rows_deletion`` (rows of the partition at places from name to range_end, see
+    siltbed.functions.places). clustering is null for static rows, partitions and layouts without it.
     pos orders versions of one source. An unnamed cell (name '') marks a row and is never a column.
     """
     return T.StructType(

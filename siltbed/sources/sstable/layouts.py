@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from siltbed.functions import places
 from siltbed.sources.sstable import naming
 from siltbed.sources.sstable.metadata import FIXED, Header, element_type
-from siltbed.sources.sstable.wire import Wire
+from siltbed.sources.sstable.wire import EndOfData, Wire
 
 #: A row's deletion time if it is not deleted, in older files.
 ACTIVE = -(1 << 63)
@@ -19,6 +20,8 @@ END, MARKER, TIMESTAMP, TTL, DELETION, ALL_COLUMNS, COMPLEX_DELETION, EXTENSION
 STATIC = 0x01
 #: Flags of a cell in newer files.
 CELL_DELETED, CELL_EXPIRING, CELL_EMPTY, ROW_TIMESTAMP, ROW_TTL = 0x01, 0x02, 0x04, 0x08, 0x10
+#: Kinds of bounds of a range of rows: whether a range that ends there, and one that begins there, includes the bound; None if none does.
+BOUNDS = {0: (False, None), 1: (None, True), 2: (False, True), 5: (True, False), 6: (True, None), 7: (None, False)}
 
 #: (clustering, row_ord, is_static, kind, name, range_end, ts, deleted, ttl, expires_at, value)
 Cell = tuple
@@ -121,9 +124,28 @@ def _clustering(w: Wire, kinds: tuple[str, ...]) -> list[bytes | None]:
     return out
 
 
+def _bound(w: Wire, header: Header) -> tuple[list[bytes | None], tuple, list[int]]:
+    """A bound of ranges of rows: the prefix of the clustering, what it includes (see BOUNDS), and when the range that ends there and the
+    one that begins there were deleted."""
+    kind, size = w.u8(), w.u16()
+    if kind not in BOUNDS or size > len(header.clustering):
+        raise ValueError(f"a bound of kind {kind} with {size} values")
+    prefix, ends = _clustering(w, header.clustering[:size]), BOUNDS[kind]
+    end = w.vint() + w.at
+    w.vint()  # size of the row before
+    times = []
+    for _ in range(2 - ends.count(None)):
+        times.append(w.vint() + header.min_timestamp)
+        w.vint()  # local deletion
+    if w.at != end:
+        raise ValueError(f"a bound that ends at {w.at} instead of {end}")
+    return prefix, ends, times
+
+
 def new_partition(w: Wire, header: Header, values: bool = True) -> tuple[bytes, Iterator[Cell]]:
     """Like old_partition. A column with a cell for each element gives cells named by element_name, and a range tombstone
-    over all of them where the column was deleted or overwritten."""
+    over all of them where the column was deleted or overwritten. A range of deleted rows gives a rows_deletion between two places
+    (see siltbed.functions.places); in a file such ranges don't overlap."""
     key = w.short_bytes()
     elements = {name: element_type(kind) for name, kind in (*header.static, *header.regular)}
     w.skip(4)  # local deletion
@@ -132,15 +154,29 @@ def new_partition(w: Wire, header: Header, values: bool = True) -> tuple[bytes,
     def cells() -> Iterator[Cell]:
         if _is_deleted(partition):
             yield None, -1, False, "row_deletion", None, None, partition, False, None, None, None
-        row = 0
+        row, since = 0, None
         seen = _is_deleted(partition)
         while True:
             flags = w.u8()
             if flags & END:
+                if since is not None:
+                    raise ValueError("range tombstones over clustering columns: one has no end")
                 break
             static = bool(flags & EXTENSION and w.u8() & STATIC)
             if flags & MARKER:
-                raise NotImplementedError("range tombstones over clustering columns aren't supported")
+                try:
+                    order = places.check_order(header.order)
+                    prefix, (ends, begins), times = _bound(w, header)
+                    if (since is None) != (ends is None):
+                        raise ValueError("a bound with no range before it" if since is None else "a range in another")
+                except (EndOfData, ValueError) as e:
+                    raise ValueError(f"range tombstones over clustering columns: {e}") from e
+                if ends is not None:
+                    first, ts = since
+                    yield None, row, False, "rows_deletion", first, places.up_to(prefix, order, ends), ts, False, None, None, None
+                since = (places.at_or_after(prefix, order, begins), times[-1]) if begins is not None else None
+                seen = True
+                continue
             cluster = None if static else _clustering(w, header.clustering)
             w.vint()  # row size
             w.vint()  # size of the row before

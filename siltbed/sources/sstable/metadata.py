@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field, replace
 
+from siltbed.functions.places import Order
 from siltbed.functions.tokens import DEFAULT_PARTITIONER, PARTITIONERS
 from siltbed.sources.sstable import naming
 from siltbed.sources.sstable.wire import Wire
@@ -34,6 +35,10 @@ def short_type(text: str) -> str:
     return inner[1] if inner else short
 
 
+def is_reversed(text: str) -> bool:
+    return re.fullmatch(r"([\w.]*\.)?ReversedType\(.*\)", text.strip()) is not None
+
+
 def parameters(kind: str) -> list[str]:
     """The types in the outer parentheses of a type."""
     inside, depth, out = kind.partition("(")[2][:-1], 0, [""]
@@ -66,16 +71,28 @@ class Header:
     clustering: tuple[str, ...] = ()
     static: tuple[tuple[str, str], ...] = ()
     regular: tuple[tuple[str, str], ...] = ()
+    #: Whether each clustering column is in reverse order.
+    backwards: tuple[bool, ...] = ()
+
+    @property
+    def order(self) -> Order:
+        """How rows of a partition are ordered."""
+        return tuple(zip(self.clustering, self.backwards or (False,) * len(self.clustering), strict=True))
 
     @classmethod
     def parse(cls, w: Wire) -> Header:
+        def full() -> str:
+            return w.vint_bytes().decode()
+
         def kind() -> str:
-            return short_type(w.vint_bytes().decode())
+            return short_type(full())
 
         def columns() -> tuple:
             return tuple((w.vint_bytes().decode("utf-8"), kind()) for _ in range(w.vint()))
 
-        return cls(w.vint(), w.vint(), w.vint(), kind(), tuple(kind() for _ in range(w.vint())), columns(), columns())
+        times, key = (w.vint(), w.vint(), w.vint()), kind()
+        clustering = [full() for _ in range(w.vint())]
+        return cls(*times, key, tuple(map(short_type, clustering)), columns(), columns(), tuple(map(is_reversed, clustering)))
 
 
 @dataclass(frozen=True)
