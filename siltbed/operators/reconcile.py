@@ -94,7 +94,7 @@ def merge(cells: DataFrame, row: tuple[str, ...] = ROW) -> DataFrame:
     return drop_covered(w, ranges(cells, row), row)
 
 
-def reconcile(cells: DataFrame, row: tuple[str, ...] = ROW, drop_expired_at: int | None = None, keep_deleted: bool = False) -> DataFrame:
+def reconcile(cells: DataFrame, row: tuple[str, ...] = ROW, drop_expired_at: int | None = None, keep_deleted: bool = False, combine: bool = True) -> DataFrame:
     """(row, columns, del_ts): one row for each row of any source that is returned, columns in byte order of their names.
 
     A row with a deletion and no live column is dropped (unless keep_deleted); a row without a deletion comes back even if no
@@ -103,8 +103,12 @@ def reconcile(cells: DataFrame, row: tuple[str, ...] = ROW, drop_expired_at: int
     decides.
 
     The scan is read once: versions are reduced by (row, kind, name, range_end) with partial aggregation, then each row is
-    put together with its deletion and ranges at hand. If cells are partitioned by the row already, both steps use that.
+    put together with its deletion and ranges at hand. If cells are partitioned by the row already, both steps use that. Without
+    ``combine`` they are first: for scans whose tasks see one version of a cell, as those of table files do, so that there is nothing to
+    reduce before the shuffle and values move once instead of twice.
     """
+    if not combine:
+        cells = cells.repartition(*row)
     reduced = cells.groupBy(*row, "kind", "name", "range_end").agg(F.max_by(F.struct(*KEPT), _newest()).alias("w"), F.max("ts").alias("top"))
     is_cell = (F.col("kind") == "cell") & ~F.col("w.deleted") & (F.col("name") != "")
     held = reduced.groupBy(*row).agg(
@@ -124,27 +128,29 @@ def reconcile(cells: DataFrame, row: tuple[str, ...] = ROW, drop_expired_at: int
     return rows if keep_deleted else rows.where(F.col("del_ts").isNull() | (F.size("columns") > 0))
 
 
-def reconcile_wide(cells: DataFrame, drop_expired_at: int | None = None, keep_deleted: bool = False, order: Order | None = None) -> DataFrame:
+def reconcile_wide(cells: DataFrame, drop_expired_at: int | None = None, keep_deleted: bool = False, order: Order | None = None, combine: bool = True, bare: DataFrame | None = None) -> DataFrame:
     """Like reconcile, for tables with clustering columns: a row is (key, clustering, is_static). Deletions of a whole partition (no
     clustering) and of ranges of rows (rows_deletion) reach their rows through one join by key; static rows are in no range.
 
     ``order`` says how the clustering columns are ordered; without it, or with types of another order, a rows_deletion is an error. A partition's rows are each tested
-    against all its deletions and ranges, of which a table's files hold few for a key.
+    against all its deletions and ranges, of which a table's files hold few for a key. ``bare`` holds the same cells without values, if
+    they can be read so: deletions and rows are looked up there.
     """
     whole = (F.col("kind") == "row_deletion") & F.col("clustering").isNull() & ~F.col("is_static")
     of_rows = F.col("kind") == "rows_deletion"
+    bare = cells if bare is None else bare
     if order is None or not places.is_known(order):
         order = None
-        cells = cells.where(F.when(of_rows, F.raise_error(F.lit("ranges of rows need the order of the clustering columns")).cast("boolean")).otherwise(F.lit(True)))
+        bare = bare.where(F.when(of_rows, F.raise_error(F.lit("ranges of rows need the order of the clustering columns")).cast("boolean")).otherwise(F.lit(True)))
     row = ("key", "clustering", "is_static")
-    marks = cells.where(whole | of_rows).groupBy("key", F.when(of_rows, F.col("name")).alias("lo"), F.when(of_rows, F.col("range_end")).alias("hi")).agg(F.max("ts").alias("p"))
-    parts = cells.where(~(whole | of_rows))
+    marks = bare.where(whole | of_rows).groupBy("key", F.when(of_rows, F.col("name")).alias("lo"), F.when(of_rows, F.col("range_end")).alias("hi")).agg(F.max("ts").alias("p"))
+    parts, seen = (c.where(~(whole | of_rows)) for c in (cells, bare))
     at = places.place("clustering", order) if order else F.lit(None).cast("string")
-    rows = parts.select(*row).distinct().withColumn("_at", at)
+    rows = seen.select(*row).distinct().withColumn("_at", at)
     marks = marks.withColumnRenamed("key", "_key")
     found = rows.join(marks, (F.col("key") == F.col("_key")) & (F.col("hi").isNull() | F.col("_at").between(F.col("lo"), F.col("hi"))))
     extra = found.select(*row, F.lit("row_deletion").alias("kind"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("range_end"), F.col("p").alias("ts"))
-    return reconcile(parts.unionByName(extra, allowMissingColumns=True), row, drop_expired_at, keep_deleted)
+    return reconcile(parts.unionByName(extra, allowMissingColumns=True), row, drop_expired_at, keep_deleted, combine)
 
 
 def exploded(rows: DataFrame, row: tuple[str, ...] = ROW) -> DataFrame:

@@ -59,18 +59,18 @@ def _order(df: DataFrame) -> list[str]:
     return [c for c in ("token", "key", "clustering") if c in df.columns]
 
 
-def records(cells: DataFrame, now: int, min_ttl: int = 1, eternal: int | None = None, expiry: str = "latest", target: DataFrame | None = None, drop_expired_cells: bool = False, wide: bool = False, order: Order | None = None) -> DataFrame:
+def records(cells: DataFrame, now: int, min_ttl: int = 1, eternal: int | None = None, expiry: str = "latest", target: DataFrame | None = None, drop_expired_cells: bool = False, wide: bool = False, order: Order | None = None, combine: bool = True, bare: DataFrame | None = None) -> DataFrame:
     """Every row of cells with columns, expiry, status, bins and ttl (null for never, or ``eternal``).
 
     Rows that are deleted and empty come with the status skipped. With ``wide`` every row of a partition is a record, identified by key,
-    clustering (empty for static rows and partitions) and is_static, in the target as well; ``order`` is that of the clustering columns.
+    clustering (empty for static rows and partitions) and is_static, in the target as well; ``order`` is that of the clustering columns. For ``combine`` and ``bare`` see reconcile.
     """
     ttl.check_min_ttl(min_ttl)
     at = now if drop_expired_cells else None
     if wide:
-        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True, order=order).withColumn("clustering", F.coalesce("clustering", F.array().cast("array<binary>")))
+        rows = reconcile.reconcile_wide(cells, at, keep_deleted=True, order=order, combine=combine, bare=bare).withColumn("clustering", F.coalesce("clustering", F.array().cast("array<binary>")))
     else:
-        rows = reconcile.reconcile(cells, ("token", "key") if "token" in cells.columns else ("key",), at, keep_deleted=True)
+        rows = reconcile.reconcile(cells, ("token", "key") if "token" in cells.columns else ("key",), at, keep_deleted=True, combine=combine)
     out = rows.withColumn("expiry", ttl.expiry("columns", expiry))
     skipped = F.col("del_ts").isNotNull() & (F.size("columns") == 0)
     ended = sink.with_status(out, target, WIDE_KEY if wide else KEY, skipped, ttl.is_alive("expiry", now, min_ttl))
@@ -105,10 +105,11 @@ def load_table(
     """
     files = find_files(paths, keyspace, table, ts_epoch=ts_epoch) if files is None else files
     about, header = files[0].table, files[0].meta.header
-    cells = read_files(spark, files, checksum=checksum, start_key_hex=start_key.hex() if start_key is not None else None)
+    given = {"checksum": checksum, "start_key_hex": start_key.hex() if start_key is not None else None}
+    cells, bare = read_files(spark, files, **given), read_files(spark, files, values=False, **given) if header.clustering else None
     now = int(time.time()) if now is None else now
     space, set_, warnings = sink.target_names(about.keyspace, about.table, namespace, set_name)
-    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(header.clustering), order=header.order)
+    recs = records(cells, now, min_ttl, eternal, expiry, target, drop_expired_cells, wide=bool(header.clustering), order=header.order, combine=False, bare=bare)
     run = Run(recs, sink.summary(recs), space, set_, warnings)
     if on_target is not None:
         on_target(run.exported())

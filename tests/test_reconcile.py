@@ -143,3 +143,12 @@ def test_one_scan_and_partial_aggregation(spark, tmp_path):
     frame(spark, [cell(0, "a", 1, "x")]).write.parquet(str(tmp_path / "c"))
     plan = rc.reconcile(spark.read.parquet(str(tmp_path / "c")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1 and "partial_max_by" in plan and "clustering" not in plan.split("ReadSchema")[1]
+
+
+def test_values_move_once_without_combining(spark):
+    rows = [cell(s, n, 10 * s + i, f"v{s}{n}", key=bytes([k])) for s in range(2) for k in range(4) for i, n in enumerate("abc")] + [deletion(1, 11, bytes([2])), rng(0, "a", "b", 30, bytes([3]))]
+    df = frame(spark, rows)
+    one, two = rc.reconcile(df), rc.reconcile(df, combine=False)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    plan = rc.reconcile(df, combine=False)._jdf.queryExecution().executedPlan().toString()  # not run, so it holds one plan
+    assert plan.count("Exchange hashpartitioning") == 1
