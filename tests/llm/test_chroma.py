@@ -114,3 +114,48 @@ def test_rates_agree(rate, channels):
     a, b = ch.fingerprint(sound(ch.RATE)), ch.fingerprint(ch.read_wav(wav_at(rate, sound(rate), channels)))
     offset, votes, errors = ch.align(a, b)
     assert offset == 0 and votes > len(a) / 3 and errors < 0.06
+
+
+def plain_align(q, r):
+    """(offset, votes, bit error rate) by counting pairs of equal integers in a dictionary, or None."""
+    votes = {}
+    for i, x in enumerate(q):
+        for j, y in enumerate(r):
+            if x == y:
+                votes[j - i] = votes.get(j - i, 0) + 1
+    if not votes:
+        return None
+    offset = min(votes, key=lambda o: (-votes[o], abs(o), o))
+    over = [(x, r[i + offset]) for i, x in enumerate(q) if 0 <= i + offset < len(r)]
+    return offset, votes[offset], sum((x ^ y).bit_count() for x, y in over) / (32 * len(over))
+
+
+def test_the_whole_query_against_a_plain_version(spark, tmp_path):
+    import hashlib
+
+    rnd = np.random.default_rng(8)
+    base = rnd.normal(size=(6, 64)) / 8
+    rows = {i: (base[i % 6] + rnd.normal(size=64) * 0.002 * (i % 4)).tolist() for i in range(42)}
+    rows |= {60: None, 61: [], 80: rows[3], 81: [float("nan")] * 64, 100: [0.0] * 64, 101: rnd.normal(size=200).tolist(), 120: (rnd.normal(size=64) / 8).tolist()}
+    spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r for r in ch.op6_chroma_fingerprints(spark, str(tmp_path)).collect()}
+    prints = {i: ch.fingerprint(ch.read_wav(ch.sound_of(v))).tolist() for i, v in rows.items()}
+    signed = lambda x: x - (1 << 32) if x >> 31 else x
+    assert got.keys() == rows.keys()
+    for i, p in prints.items():
+        r = got[i]
+        text = ",".join(str(signed(x)) for x in p)
+        assert (r["n_ints"], r["print_sha256"], r["is_query"]) == (len(p), hashlib.sha256(text.encode()).hexdigest(), i % 20 == 0)
+        found = []
+        if i % 20 == 0:
+            for j, other in prints.items():
+                m = plain_align(p, other) if j != i else None
+                if m and m[1] >= 4 and m[2] <= 0.25:
+                    found.append((m[2], j, m[0]))
+        assert r["n_matches"] == len(found)
+        if found:
+            errors, best, offset = min(found)
+            assert (r["best_id"], r["best_offset"]) == (best, offset) and abs(r["best_errors"] - errors) < 1e-12
+        else:
+            assert r["best_id"] is r["best_offset"] is r["best_errors"] is None
+    assert got[0]["n_matches"] >= 4 and got[80]["best_errors"] == 0 and got[120]["n_matches"] == 0

@@ -107,3 +107,16 @@ def test_models_of_other_kinds_are_refused(model):
     ):
         with pytest.raises(ValueError, match=said):
             sc.check_model(field(2, trainer) + field(3, rules))
+
+
+def test_the_whole_query_against_the_library(spark, both, tmp_path):
+    import hashlib
+
+    rows = [*enumerate([*CASES, None]), (3, "a repeated id"), (None, "no id"), (900, "very long " * 30_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, sc.op7_sentencepiece(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "round_trip").collect()), key=str)
+    want = []
+    for i, x in rows:
+        ids = both[1].encode(x or "")
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), True))
+    assert got == sorted(want, key=str)
