@@ -73,6 +73,55 @@ def up_to(values: Sequence[bytes | None], order: Order, included: bool) -> str:
     return at[:-1] + chr(ord(at[-1]) - 1) + BEYOND if at else ""
 
 
+def _value(kind: str, h: str) -> bytes:
+    """_digits' inverse."""
+    value = bytes.fromhex(h)
+    if kind in TIMED:
+        return value[4:8] + value[2:4] + value[:2] + bytes(x ^ 0x80 for x in value[8:])
+    if kind in FLOATING and value[0] < 0x80:
+        return bytes(x ^ 0xFF for x in value)
+    return bytes([value[0] ^ 0x80]) + value[1:] if kind in SIGNED + FLOATING else value
+
+
+def values_of(at: str, order: Order) -> list[bytes | None] | None:
+    """place_of's inverse: the values of a place or a prefix; None if the text is neither."""
+    out: list[bytes | None] = []
+    for kind, back in order:
+        if not at:
+            break
+        null, empty, other, end = _BACK if back else _MARKS
+        if at[0] in (null, empty):
+            out.append(None if at[0] == null else b"")
+            at = at[1:]
+            continue
+        digits, found, rest = at[1:].partition(end)
+        if at[0] != other or not found or digits.strip(_DIGITS):
+            return None
+        out.append(_value(kind, digits.translate(str.maketrans(_TURNED, _DIGITS)) if back else digits))
+        at = rest
+    return None if at else out
+
+
+def start_of(lo: str, order: Order) -> tuple[list[bytes | None], bool]:
+    """The prefix at which a range begins and whether it is included: the inverse of at_or_after."""
+    prefix = values_of(lo.removesuffix(BEYOND), order)
+    if prefix is None:
+        raise ValueError(f"no place: {lo}")
+    return prefix, not lo.endswith(BEYOND)
+
+
+def end_of(hi: str, order: Order) -> tuple[list[bytes | None], bool]:
+    """The same for up_to. What ends before empty values may come back as ending with nulls, which is the same range."""
+    at = hi.removesuffix(BEYOND)
+    prefix = values_of(at, order)
+    if prefix is not None and hi.endswith(BEYOND):
+        return prefix, True
+    prefix = values_of(at[:-1] + chr(ord(at[-1]) + 1), order) if at else []
+    if prefix is None:
+        raise ValueError(f"no place: {hi}")
+    return prefix, False
+
+
 def place(clustering: Column | str, order: Order) -> Column:
     """place_of for a column of arrays of binary; null for null arrays."""
     array = F.col(clustering) if isinstance(clustering, str) else clustering

@@ -356,9 +356,10 @@ def q41_source_verdicts(spark, d):
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
-def _event_files(spark, d, layout: Layout, rows: bool = False) -> list[File]:
+def _event_files(spark, d, layout: Layout, rows: bool = False, ranges: bool = False) -> list[File]:
     """The files of events in a layout, one for each source, each with one version of a cell. With ``rows`` event types are clustering
-    values of rows with one column ``v``; every 101st event deletes its partition and every 37th its row."""
+    values of rows with one column ``v``; every 101st event deletes its partition and every 37th its row, or with ``ranges`` the rows
+    from click to purchase."""
     e = event_cells(spark, d).withColumn("text", F.col("value").cast("string").cast("binary"))
     kept = ("ts", "deleted", "ttl", "expires_at", "text")
     cells = rc.latest(e, ("src", "key"), kept).select("src", "key", F.lit("cell").alias("kind"), "name", F.lit(None).cast("string").alias("range_end"), *kept)
@@ -370,7 +371,9 @@ def _event_files(spark, d, layout: Layout, rows: bool = False) -> list[File]:
         cells = cells.withColumn("clustering", row).withColumn("name", F.lit("v"))
         gone = e.where("kind = 'cell' and pos % 37 = 0").groupBy("src", "key", "name").agg(F.max("ts").alias("ts"))
         gone = gone.select("src", "key", F.lit("row_deletion").alias("kind"), row.alias("clustering"), "ts", F.lit(False).alias("deleted"))
-        marks = marks.where("kind = 'row_deletion'").unionByName(gone, allowMissingColumns=True)
+        at = lambda c: places.place(F.array(F.col(c).cast("binary")), layout.order)
+        spans = marks.where("kind = 'range_tombstone'").select("src", "key", F.lit("rows_deletion").alias("kind"), at("name").alias("name"), F.concat(at("range_end"), F.lit(places.BEYOND)).alias("range_end"), "ts", "deleted")
+        marks = marks.where("kind = 'row_deletion'").unionByName(spans if ranges else gone, allowMissingColumns=True)
     out = cells.unionByName(marks, allowMissingColumns=True).withColumnRenamed("text", "value").withColumn("key", F.col("key").cast("string").cast("binary"))
     folder = new_folder(spark, "event-files")
     write_sstables(out, folder, "ks", "events", layout).collect()  # one row a file
@@ -409,8 +412,8 @@ l2 AS (SELECT l.* FROM live l LEFT JOIN pd ON l.key = pd.key LEFT JOIN rd ON l.k
   WHERE (pd.del_ts IS NULL OR pd.del_ts < l.ts) AND (rts IS NULL OR rts < l.ts))"""
 
 
-def _row_files(spark, d) -> list[File]:
-    return _event_files(spark, d, Layout("mc", regular=(("u", "LongType"), ("v", "UTF8Type")), clustering=("UTF8Type",), chunk=1 << 12, every=4), rows=True)
+def _row_files(spark, d, ranges: bool = False) -> list[File]:
+    return _event_files(spark, d, Layout("mc", regular=(("u", "LongType"), ("v", "UTF8Type")), clustering=("UTF8Type",), chunk=1 << 12, every=4), rows=True, ranges=ranges)
 
 
 @query(f", {_ROWS} SELECT CAST(key AS VARCHAR) AS key, name AS place, 'v' AS name, ts, value, ttl, expires_at FROM l2", cells=True)
@@ -443,6 +446,13 @@ def q55_rows_deleted_in_ranges(spark, d):
     return rows.select("key", F.col("clustering")[0].cast("string").alias("place"), "ts", "value", "expires_at")
 
 
+@query(f"SELECT CAST(key AS VARCHAR) AS key, name AS place, value, CAST(expires_at - {NOW} AS BIGINT) AS ttl FROM merged WHERE expires_at IS NULL OR expires_at >= {NOW} + 1", cells=True)
+def q56_load_of_files_with_ranges_of_rows(spark, d):
+    """Range tombstones over clustering columns, written, read and loaded."""
+    out = load_table(spark, [], files=_row_files(spark, d, ranges=True), now=NOW).exported().where(F.size("clustering") > 0)
+    return out.select(_text("key").alias("key"), F.col("clustering")[0].cast("string").alias("place"), F.col("bins")["v"].cast("string").cast("double").alias("value"), "ttl")
+
+
 @query("SELECT src, CAST(key AS VARCHAR) AS key, name, max(ts) AS ts FROM e WHERE key = 7 GROUP BY ALL", cells=True)
 def q47_lookup_in_files(spark, d):
     """One key by summary and index; values are skipped."""

@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.functions import tokens
+from siltbed.functions import places, tokens
 from siltbed.sources.sstable import naming
-from siltbed.sources.sstable.layouts import ACTIVE, ALL_COLUMNS, CELL_DELETED, CELL_EMPTY, CELL_EXPIRING, DELETION, END, EXTENSION, OLD_DELETED, OLD_EXPIRING, OLD_RANGE, STATIC, TIMESTAMP
+from siltbed.sources.sstable.layouts import ACTIVE, ALL_COLUMNS, BOUNDS, CELL_DELETED, CELL_EMPTY, CELL_EXPIRING, DELETION, END, EXTENSION, MARKER, OLD_DELETED, OLD_EXPIRING, OLD_RANGE, STATIC, TIMESTAMP
 from siltbed.sources.sstable.metadata import FIXED, HEADER, VALIDATION
 from siltbed.sources.sstable.storage import file_system
 from siltbed.sources.sstable.wire import put_vint
@@ -39,6 +39,10 @@ class Layout:
     chunk: int = 1 << 16
     every: int = 128
 
+    @property
+    def order(self) -> places.Order:
+        return tuple((kind, False) for kind in self.clustering)
+
     @property
     def number(self) -> int:
         return naming.version(self.version)
@@ -75,13 +79,42 @@ def old_partition(version: int, key: bytes, cells: list[dict]) -> bytes:
 
 
 def new_partition(layout: Layout, key: bytes, cells: list[dict]) -> bytes:
-    """A partition of versions from ma on. Its rows come in the order of their clustering's bytes, the static row first."""
+    """A partition of versions from ma on. Its rows come in the order of their clustering's bytes, the static row first; with ranges of
+    deleted rows, which may not overlap, in the order of their places."""
     whole = [c for c in cells if c["kind"] == "row_deletion" and c["clustering"] is None and not c["is_static"]]
-    place = lambda c: (not c["is_static"], [bytes(x) for x in c["clustering"] or ()])
+    spans = [c for c in cells if c["kind"] == "rows_deletion"]
+    order = places.check_order(layout.order) if spans else ()
+    at = lambda c: [bytes(x) for x in c["clustering"] or ()]
+    # rows come after a range that begins at their place, and a range ends before the next begins
+    spot = lambda c: (not c["is_static"], places.place_of(at(c), order), 2, at(c)) if spans else (not c["is_static"], at(c))
     out = []
-    for (other, at), group in groupby(sorted((c for c in cells if c not in whole), key=place), key=place):
-        out.append(_row(layout, at, not other, list(group)))
-    return _short(key) + struct.pack(">iq", _THEN, max((c["ts"] for c in whole), default=ACTIVE)) + b"".join(out) + bytes([END])
+    for where, group in groupby(sorted((c for c in cells if c not in whole and c not in spans), key=spot), key=spot):
+        out.append((where, _row(layout, where[-1], not where[0], list(group))))
+    for c in spans:
+        out += [((True, c["name"], 1, []), _bound(layout, order, c, True)), ((True, c["range_end"], 0, []), _bound(layout, order, c, False))]
+    out.sort(key=lambda x: x[0])
+    kinds = [where[2] for where, _ in out if spans and where[2] != 2]
+    if kinds != [1, 0] * len(spans):
+        raise ValueError("ranges of deleted rows that overlap")
+    return _short(key) + struct.pack(">iq", _THEN, max((c["ts"] for c in whole), default=ACTIVE)) + b"".join(x for _, x in out) + bytes([END])
+
+
+def _prefix(layout: Layout, at: list[bytes | None]) -> bytes:
+    """Values of clustering columns."""
+    value = lambda kind, v: v if kind in FIXED else _sized(v)
+    out = b""
+    for i in range(0, len(at), 32):
+        part = list(zip(layout.clustering[i : i + 32], at[i : i + 32], strict=False))
+        out += put_vint(sum((2 if v is None else v == b"") << (2 * k) for k, (_, v) in enumerate(part))) + b"".join(value(k, v) for k, v in part if v)
+    return out
+
+
+def _bound(layout: Layout, order: places.Order, c: dict, first: bool) -> bytes:
+    """Where a range of deleted rows begins or ends."""
+    at, included = places.start_of(c["name"], order) if first else places.end_of(c["range_end"], order)
+    kind = next(k for k, ends in BOUNDS.items() if ends == ((None, included) if first else (included, None)))
+    body = put_vint(0) + put_vint(c["ts"]) + put_vint(_THEN)
+    return bytes([MARKER, kind]) + struct.pack(">H", len(at)) + _prefix(layout, at) + put_vint(len(body)) + body
 
 
 def _row(layout: Layout, at: list[bytes], static: bool, cells: list[dict]) -> bytes:
@@ -95,10 +128,9 @@ def _row(layout: Layout, at: list[bytes], static: bool, cells: list[dict]) -> by
     flags = ALL_COLUMNS * whole | TIMESTAMP * bool(marks) | DELETION * bool(deletions) | EXTENSION * static
     out = bytes([flags]) + (bytes([STATIC]) if static else b"")
     if not static:
-        value = lambda kind, v: v if kind in FIXED else _sized(v)
-        for i in range(0, len(layout.clustering), 32):
-            part = list(zip(layout.clustering[i : i + 32], at[i : i + 32], strict=True))
-            out += put_vint(sum((v == b"") << (2 * k) for k, (_, v) in enumerate(part))) + b"".join(value(k, v) for k, v in part if v)
+        if len(at) != len(layout.clustering):
+            raise ValueError(f"a row of {len(at)} clustering values")
+        out += _prefix(layout, at)
     out += put_vint(0) + put_vint(0)  # sizes of this row and the one before, which no reader here needs
     out += b"".join(put_vint(max(x)) + (put_vint(_THEN) if x is deletions else b"") for x in (marks, deletions) if x)
     names = list(kinds)

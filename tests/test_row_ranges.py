@@ -46,6 +46,7 @@ def test_places_are_in_the_order_of_types(spark):
             rows = [(a, b) for a in left for b in right]
             at = [places.place_of(r, order) for r in rows]
             assert at == sorted(at) and len(set(at)) == len(at), order
+            assert [tuple(places.values_of(a, order)) for a in at] == rows
             for i in rnd.sample(range(len(rows)), 5):
                 for n in (1, 2):
                     prefix = rows[i][:n]
@@ -55,6 +56,10 @@ def test_places_are_in_the_order_of_types(spark):
                     assert [a >= places.at_or_after(prefix, order, False) for a in at] == [j > last for j in range(len(rows))]
                     assert [a <= places.up_to(prefix, order, True) for a in at] == [j <= last for j in range(len(rows))]
                     assert [a <= places.up_to(prefix, order, False) for a in at] == [j < before for j in range(len(rows))]
+                    for included in (True, False):
+                        assert places.start_of(places.at_or_after(prefix, order, included), order) == (list(prefix), included)
+                        hi = places.up_to(prefix, order, included)
+                        assert places.up_to(*places.end_of(hi, order)[:1], order, places.end_of(hi, order)[1]) == hi
 
 
 def test_columns_of_places_agree(spark):
@@ -121,3 +126,20 @@ def test_an_unknown_order_matters_for_ranges_only(spark):
     rows.append(cell(0, "s", 10, "y", key=b"p", static=True))
     got = rc.reconcile_wide(frame(spark, rows), order=(("UTF8Type", False),)).where(F.size("columns") > 0).collect()
     assert [r["is_static"] for r in got] == [True] and values(got) == {"s": "y"}
+
+
+def test_ranges_are_written_and_read(spark, tmp_path):
+    from siltbed.sources.sstable.writer import Layout, write_sstables
+
+    layout = Layout("md", regular=(("v", "UTF8Type"),), static=(("st", "UTF8Type"),), clustering=("Int32Type", "UTF8Type"))
+    up, down = lambda at, yes: places.at_or_after(at, layout.order, yes), lambda at, yes: places.up_to(at, layout.order, yes)
+    spans = [(up([], True), down([INT(-5)], False), 3), (up([INT(-5), b"b"], False), down([INT(2), b""], True), 4), (up([INT(2), b""], False), down([], True), 5)]
+    rows = [cell(0, lo, ts, key=b"p", kind="rows_deletion", end=hi) for lo, hi, ts in spans]
+    rows += [cell(0, "v", 9, f"{a}{b}", key=b"p", clustering=[INT(a), b]) for a in (-7, -5, 2) for b in (b"", b"b", b"c")] + [cell(0, "st", 9, "s", key=b"p", static=True)]
+    write_sstables(frame(spark, rows), str(tmp_path), "ks", "t", layout).collect()
+    back = read_sstables(spark, [f"{tmp_path}/ks/t"])
+    assert sorted(tuple(r) for r in back.where("kind = 'rows_deletion'").select("name", "range_end", "ts").collect()) == sorted(spans)
+    assert back.where("kind = 'cell' and name <> ''").count() == 10
+    rows.append(cell(0, up([INT(0)], True), 3, key=b"p", kind="rows_deletion", end=down([INT(9)], True)))
+    with pytest.raises(Exception, match="overlap"):
+        write_sstables(frame(spark, rows), f"{tmp_path}/other", "ks", "t", layout).collect()
