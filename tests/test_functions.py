@@ -45,6 +45,42 @@ def test_tokens_don_t_depend_on_the_batch(keys):
     assert list(tokens.murmur_tokens(keys)) == [tokens.murmur_tokens([k])[0] for k in keys]
 
 
+def plain_murmur(key):
+    """The token by whole numbers, a byte at a time."""
+    low, c1, c2 = (1 << 64) - 1, 0x87C37B91114253D5, 0x4CF5AD432745937F
+    rotl = lambda x, n: (x << n | x >> 64 - n) & low
+    signed = lambda b: b - 256 if b > 127 else b
+
+    def fmix(x):
+        for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ x >> 33) * c & low
+        return x ^ x >> 33
+
+    h1 = h2 = 0
+    whole = len(key) // 16 * 16
+    for at in range(0, whole, 16):
+        k1, k2 = (int.from_bytes(key[i : i + 8], "little") for i in (at, at + 8))
+        h1 = ((rotl(h1 ^ rotl(k1 * c1 & low, 31) * c2 & low, 27) + h2) * 5 + 0x52DCE729) & low
+        h2 = ((rotl(h2 ^ rotl(k2 * c2 & low, 33) * c1 & low, 31) + h1) * 5 + 0x38495AB5) & low
+    k = [0, 0]
+    for i, b in enumerate(key[whole:]):
+        k[i // 8] ^= signed(b) << 8 * (i % 8) & low
+    h2 ^= rotl(k[1] * c2 & low, 33) * c1 & low
+    h1 ^= rotl(k[0] * c1 & low, 31) * c2 & low
+    h1, h2 = h1 ^ len(key), h2 ^ len(key)
+    h1 = (h1 + h2) & low
+    h2 = (h2 + h1) & low
+    h = (fmix(h1) + fmix(h2)) & low
+    h = h - (1 << 64) if h >> 63 else h
+    return (1 << 63) - 1 if h == -(1 << 63) else h
+
+
+def test_tokens_of_keys_of_many_digits():
+    assert all(plain_murmur(bytes.fromhex(k)) == token for k, (token, _) in GOLDEN.items())
+    keys = [str(10**n + i * 7).encode() for n in range(40) for i in range(20)]
+    assert list(tokens.murmur_tokens(keys)) == list(map(plain_murmur, keys))
+
+
 def test_partitioners():
     assert tokens.partitioner("any.package.Murmur3Partitioner") is tokens.murmur_token
     assert tokens.partitioner(None) is tokens.random_token and tokens.partitioner("x.OrderPreservingPartitioner") is tokens.no_token
