@@ -77,6 +77,17 @@ class Scratch:
         fs.delete(path, True)
 
 
+#: Rows of a small table, of a few numbers each, that are worth a task and a file of their own.
+FILE_ROWS = 100_000
+
+
+def in_few(df: DataFrame, rows: int) -> DataFrame:
+    """df, of ``rows`` rows at most, in as many partitions as they need, and two for each core. Without Hadoop's native library the
+    JVM starts three processes for each part file on a local disk, which takes longer than writing some hundred rows."""
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // FILE_ROWS)))
+
+
 def parts(spark: SparkSession, least: int = 1) -> int:
     """Partitions for a deal by key, as the cluster sets them."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -303,7 +314,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     Edges are contracted to stars where they lie, dealt by one end and contracted again. Then rounds of large-star and small-star steps
     (Kiveris et al., 2014) until all that is left is stars, which one aggregation shows: every round is a few shuffles whose groups are
     summed up before they move, no list of neighbours is built, and each round is written, so a lost executor costs one
-    round. Ends after a number of rounds that is logarithmic in practice. Edges at a hub, of which there are 2 * HUB at most, learn the hub's
+    round. Its tables have as many files as their rows need, as the round before has counted them. Ends after a number of rounds that is logarithmic in practice. Edges at a hub, of which there are 2 * HUB at most, learn the hub's
     least neighbour by a broadcast and stay where they are.
     """
     def dealt(df: DataFrame) -> DataFrame:
@@ -316,7 +327,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     while True:
         ends = now.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(1).alias("end"), F.lit(0).alias("centre"))
         both = ends.union(now.select("b", "a", F.lit(0), F.lit(1)))
-        low = scratch.save(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("end").alias("end"), F.max("centre").alias("centre")), f"{name}-low-{k}")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"), F.sum("end").alias("end"), F.max("centre").alias("centre"))
+        low = scratch.save(in_few(low, 2 * seen["n"]), f"{name}-low-{k}")
         # an id that is both an end and a centre, or the end of several edges, shows that more is to be joined
         if low.where("end + centre > 1 and end > 0").isEmpty():
             break
@@ -331,8 +343,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         small = met.where("centre = 0 and v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b"))
         own = low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))
         k += 1
-        now, seen = scratch.observed(dealt(large.union(own).union(small).where("a <> b")), f"{name}-{k}", n=F.count(F.lit(1)))
+        now, seen = scratch.observed(in_few(dealt(large.union(own).union(small).where("a <> b")), 3 * seen["n"]), f"{name}-{k}", n=F.count(F.lit(1)))
         for old in (f"{name}-{k - 1}", f"{name}-low-{k - 1}"):
             scratch.drop(old)
     roots = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
+    return in_few(now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots), 2 * seen["n"])

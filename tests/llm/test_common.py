@@ -45,6 +45,33 @@ def test_components_of_no_edges(spark):
     assert components(Scratch(spark, "test"), spark.createDataFrame([], "a long, b long"), "c").count() == 0
 
 
+def test_components_of_few_edges_take_few_files(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(5000) if i % 50]
+    files = {}
+    save = Scratch.save
+
+    def counted(self, df, name, by=None):
+        out = save(self, df, name, by)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        found = components(Scratch(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "c")
+        got = {r["id"]: r["component"] for r in found.collect()}
+        most = 2 * spark.sparkContext.defaultParallelism
+        assert found.rdd.getNumPartitions() <= most < 40
+        assert files.pop("c-0") > most >= max(files.values()) and len(files) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == plain({x for e in edges for x in e}, edges)
+
+
 def test_the_shared_folder_is_the_one_that_the_session_names(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
