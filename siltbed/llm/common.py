@@ -93,6 +93,14 @@ def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def evened(df: DataFrame) -> DataFrame:
+    """df, of any number of rows of a few numbers each, dealt out anew whatever its keys: partitions of the size that the session
+    advises, but no more than two for each core or, if that is more, one for 16 that a shuffle has. Like in_few, but the tasks
+    that make the rows stay as many as they are."""
+    spark = df.sparkSession
+    return df.hint("rebalance").coalesce(max(2 * spark.sparkContext.defaultParallelism, parts(spark) // 16))
+
+
 def carried(docs: DataFrame, **columns) -> DataFrame:
     """docs as one struct column ``row`` beside columns of our own, so that no name of docs can clash with ours."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[x.alias(k) for k, x in columns.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, carried, raw, unpacked
+from .common import Scratch, carried, evened, raw, unpacked
 
 #: Bits of the sampling hash and of one histogram level.
 BITS, LEVEL = 60, 12
@@ -45,9 +45,11 @@ def source_targets(sizes: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: i
     return s.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.least(water * F.col("w"), F.col("cap").cast("double")))).select("source", "source_size", "target")
 
 
-def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
+def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3, size: Column | None = None) -> DataFrame:
     """All rows and columns of docs (doc_id, text, source, ...) with size, source_size, target, repeats and taken.
 
+    ``size`` says where docs has the sizes already (long, never null); then no text is needed, and docs is read again for each level.
+
     Every document is taken floor(target / source_size) times, and once more if its hash lies under its source's
     threshold. The threshold comes from nested histograms: sizes summed by (source, hash bucket), the bucket in which the
     remaining budget ends, then only that bucket's documents by the next bits, until it holds a single hash. That hash is
@@ -59,7 +61,10 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3) -> D
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    rows = scratch.save(docs.select("source", count_words("text").alias("size"), sampling_hash(F.col("doc_id")).alias("h")), "sizes")
+    count = count_words("text") if size is None else size
+    rows = docs.select("source", count.alias("size"), sampling_hash(F.col("doc_id")).alias("h"))
+    if size is None:
+        rows = scratch.save(evened(rows), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     target = source_targets(sizes, cycle, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -84,7 +89,7 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3) -> D
         plan, seen = scratch.observed(nxt, f"plan-{k}", open=F.count_if(F.col("cut").isNull()))
         if not seen["open"]:
             break
-    d = carried(docs, size=count_words("text"), h=sampling_hash(F.col("doc_id")), of=F.col("source"))
+    d = carried(docs, size=count, h=sampling_hash(F.col("doc_id")), of=F.col("source"))
     out = d.join(plan, d["of"].eqNullSafe(plan["source"]))
     more = F.when((F.col("rest") > 0) & (F.col("h") < F.col("cut")), 1).otherwise(0)
     repeats = F.col("whole") + more
@@ -93,8 +98,10 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (5, 2, 1), most: int = 3) -> D
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    """Every text is read and counted once; what is mixed has no texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", count_words("text").alias("size"))
+    counted = Scratch(spark, "counted").save(evened(docs), "sizes")
+    return mix(counted, size=F.col("size")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP3_SQL = r"""

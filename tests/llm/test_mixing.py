@@ -4,7 +4,8 @@ from collections import defaultdict
 import pytest
 from helpers import made_up, words
 
-from siltbed.llm.mixing import mix, source_targets
+from siltbed.llm import mixing
+from siltbed.llm.mixing import mix, op3_mixing, source_targets
 
 
 def plain_targets(sizes, cycle=(5, 2, 1), most=3):
@@ -61,3 +62,34 @@ def test_empty_and_clashing(spark):
     r = mix(df).collect()[0]
     assert (r["size"], r["cut"], r["taken"]) == (2, "t", 2)
     assert mix(df.withColumn("text", df["source"].substr(1, 0))).collect()[0]["taken"] == 0
+
+
+def test_many_partitions_take_few_files(spark, tmp_path, monkeypatch):
+    """Each part file on a local disk costs the JVM several processes; 40 partitions of texts have few rows of sizes."""
+    files = []
+
+    class Seen(mixing.Scratch):
+        def save(self, df, name, by=None):
+            out = super().save(df, name, by)
+            files.append((name, len(out.inputFiles())))
+            return out
+
+    monkeypatch.setattr(mixing, "Scratch", Seen)
+    docs = spark.createDataFrame([(i, t, "abc"[i % 3]) for i, t in made_up(150)], "doc_id long, text string, source string")
+    docs.repartition(40, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    read = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        for n in before:
+            spark.conf.set(n, "1k")
+        most = 2 * spark.sparkContext.defaultParallelism
+        assert read.rdd.getNumPartitions() > most
+        want = mix(read)
+        got = op3_mixing(spark, str(tmp_path))
+        assert [n for k, n in files if k == "sizes" and n > most] == [] and len([k for k, _ in files if k == "sizes"]) == 2
+        columns = ["doc_id", "size", "source_size", "target", "taken"]
+        assert sorted(got.collect()) == sorted(want.select(columns).collect())
+        assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("Python", "text"))  # texts are read once
+    finally:
+        for n, x in before.items():
+            spark.conf.set(n, x)
